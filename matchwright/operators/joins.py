@@ -7,9 +7,8 @@ like any other; whether a side is broadcast is left to Spark's size check.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Key = str | tuple[str, str]
@@ -24,8 +23,9 @@ def key_pairs(on: Key | Sequence[Key]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in keys]
 
 
-def _qualified(side: str, name: str) -> Column:
-    return F.col(f"{side}.`{name}`")
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def null_safe_join(
@@ -41,27 +41,24 @@ def null_safe_join(
     Other columns present on both sides get the suffixes.
     """
     pairs = key_pairs(on)
-    condition = reduce(
-        lambda x, y: x & y,
-        [_qualified("l", a).eqNullSafe(_qualified("r", b)) for a, b in pairs],
-    )
-    joined = left.alias("l").join(right.alias("r"), condition, how)
+    condition = " AND ".join(f"l.{quoted(a)} <=> r.{quoted(b)}" for a, b in pairs)
+    joined = left.alias("l").join(right.alias("r"), F.expr(condition), how)
     if how in ("left_anti", "left_semi"):
         return joined
-    left_keys = dict(pairs)
-    right_keys = {b for _, b in pairs}
+    left_keys, right_keys = dict(pairs), {b for _, b in pairs}
+    left_columns = left.columns
     right_rest = [c for c in right.columns if c not in right_keys]
-    clash = (set(left.columns) - set(left_keys)) & set(right_rest)
+    clash = (set(left_columns) - set(left_keys)) & set(right_rest)
     out = []
-    for c in left.columns:
+    for c in left_columns:
+        value = f"l.{quoted(c)}"
         if c in left_keys and how in ("full", "full_outer", "outer"):
-            out.append(F.coalesce(_qualified("l", c), _qualified("r", left_keys[c])).alias(c))
-        else:
-            out.append(_qualified("l", c).alias(c + suffixes[0] if c in clash else c))
+            value = f"coalesce({value}, r.{quoted(left_keys[c])})"
+        out.append(f"{value} AS {quoted(c + suffixes[0] if c in clash else c)}")
     for c in right_rest:
         name = c + suffixes[1] if c in clash or c in left_keys else c
-        out.append(_qualified("r", c).alias(name))
-    return joined.select(*out)
+        out.append(f"r.{quoted(c)} AS {quoted(name)}")
+    return joined.selectExpr(*out)
 
 
 def lookup(df: DataFrame, dimension: DataFrame, on: Key | list[Key]) -> DataFrame:
@@ -77,12 +74,12 @@ def without(df: DataFrame, used: DataFrame, on: Key | list[Key]) -> DataFrame:
     the join once.
     """
     pairs = key_pairs(on)
-    keys = used.select(*[F.col(f"`{b}`") for b in dict.fromkeys(b for _, b in pairs)]).distinct()
+    keys = used.select(*[quoted(b) for _, b in pairs]).distinct()
     return null_safe_join(df, keys, on, "left_anti")
 
 
 def within(df: DataFrame, used: DataFrame, on: Key | list[Key]) -> DataFrame:
     """Rows of ``df`` whose key is in ``used``."""
     pairs = key_pairs(on)
-    keys = used.select(*[F.col(f"`{b}`") for b in dict.fromkeys(b for _, b in pairs)]).distinct()
+    keys = used.select(*[quoted(b) for _, b in pairs]).distinct()
     return null_safe_join(df, keys, on, "left_semi")

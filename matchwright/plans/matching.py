@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from matchwright.fixed_values import MATCH_DISTANCES, REPORT_DISTANCE
 from matchwright.operators.counts import add_group_count, group_sizes
 from matchwright.operators.filters import split_by_null
-from matchwright.operators.joins import lookup, null_safe_join, within, without
+from matchwright.operators.joins import lookup, null_safe_join, quoted, within, without
 from matchwright.operators.reshape import stack_rows
 from matchwright.operators.similarity import REFINE_ABOVE, distinct_names, similar_names
 from matchwright.sources.staging import stage_table
@@ -87,39 +87,37 @@ def _hits(
     It is the costly part of a stage and small next to the rows it comes from,
     so it is written once; rows, counts, residual and pool all read it.
     """
-    pool = registry.select(*cols.registry)
-    if consumed is not None:
-        pool = without(pool, consumed, cols.code)
+    official = registry.select(*cols.registry)
+    pool = official if consumed is None else without(official, consumed, cols.code)
     pairs = similar_names(
         distinct_names(unmatched, cols.name, cols.block),
         distinct_names(pool, cols.name, cols.block),
         k,
         refine_above,
     )
-    coded = pairs.alias("p").join(
-        pool.alias("r"),
-        (F.col("p.block") == F.col(f"r.`{cols.block}`"))
-        & (F.col("p.right_name") == F.col(f"r.`{cols.name}`")),
-    )
-    return stage_table(
-        coded.select("p.*", F.col(f"r.`{cols.code}`").alias("code")), f"fuzzy-k{k}"
+    name, block = quoted(cols.name), quoted(cols.block)
+    coded = (
+        pairs.alias("p")
+        .join(official.alias("r"), F.expr(f"p.block = r.{block} AND p.right_name = r.{name}"))
+        .selectExpr("p.*", f"r.{quoted(cols.code)} AS code")
     )
+    if consumed is not None:
+        # a free name may also stand on a taken row
+        coded = without(coded, consumed, [("code", cols.code)])
+    return stage_table(coded, f"fuzzy-k{k}")
 
 
 def _stage_rows(unmatched: DataFrame, hits: DataFrame, cols: LinkColumns) -> DataFrame:
+    name, block = quoted(cols.name), quoted(cols.block)
     rows = (
         unmatched.select(*cols.source)
         .alias("l")
-        .join(
-            hits.alias("h"),
-            (F.col(f"l.`{cols.name}`") == F.col("h.left_name"))
-            & (F.col(f"l.`{cols.block}`") == F.col("h.block")),
-        )
-        .select(
+        .join(hits.alias("h"), F.expr(f"l.{name} = h.left_name AND l.{block} = h.block"))
+        .selectExpr(
             "l.*",
-            F.col("h.code").alias(cols.code),
-            F.col("h.right_name").alias(cols.matched),
-            F.col("h.distance").alias("distance"),
+            f"h.code AS {quoted(cols.code)}",
+            f"h.right_name AS {quoted(cols.matched)}",
+            "h.distance",
         )
     )
     return add_group_count(rows, cols.exact_key, "n_matches")
