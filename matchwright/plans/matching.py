@@ -14,7 +14,13 @@ from matchwright.operators.counts import add_group_count, group_sizes
 from matchwright.operators.filters import split_by_null
 from matchwright.operators.joins import lookup, null_safe_join, quoted, within, without
 from matchwright.operators.reshape import stack_rows
-from matchwright.operators.similarity import REFINE_ABOVE, distinct_names, similar_names
+from matchwright.operators.similarity import (
+    MAX_DELETION_ONLY,
+    REFINE_ABOVE,
+    distinct_names,
+    has_long_names,
+    similar_names,
+)
 from matchwright.sources.staging import stage_table
 
 
@@ -81,6 +87,7 @@ def _hits(
     cols: LinkColumns,
     k: int,
     refine_above: int,
+    long_names: bool,
 ) -> DataFrame:
     """Stage table (block, left_name, right_name, distance, code) of one distance.
 
@@ -94,6 +101,7 @@ def _hits(
         distinct_names(pool, cols.name, cols.block),
         k,
         refine_above,
+        long_names,
     )
     name, block = quoted(cols.name), quoted(cols.block)
     coded = (
@@ -137,7 +145,8 @@ def fuzzy_stage(
     per hit: source columns, code, matched name, distance and ``n_matches``,
     the hits of that (name, block).
     """
-    hits = _hits(unmatched, registry, consumed, cols, k, refine_above)
+    long_names = k <= MAX_DELETION_ONLY and has_long_names(registry, cols.name)
+    hits = _hits(unmatched, registry, consumed, cols, k, refine_above, long_names)
     return _stage_rows(unmatched, hits, cols)
 
 
@@ -206,9 +215,10 @@ def match_cascade(
     exact, rest = split_by_null(joined, cols.code)
     unmatched = rest.select(*cols.source)
     consumed = exact.select(cols.code)
+    long_names = has_long_names(registry, cols.name)
     stages: dict[int, DataFrame] = {}
     for k in dists:
-        hits = _hits(unmatched, registry, consumed, cols, k, refine_above)
+        hits = _hits(unmatched, registry, consumed, cols, k, refine_above, long_names)
         rows = _stage_rows(unmatched, hits, cols)
         if ambiguous == "drop":
             rows = stage_table(rows.filter(F.col("n_matches") == 1), f"unique-k{k}")

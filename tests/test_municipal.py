@@ -66,7 +66,7 @@ def test_source_1(cleaned, rows):
 def test_source_2(cleaned, rows):
     assert rows(cleaned["s2"].rows, "MUN_CODE", "MUN_NAME", "UF_ABBREV", "Modulo_fiscal_ha") == [
         (1, "Penha", "SC", 12.0),
-        (2, "Embu das Artes", "SP", 5.0),
+        (2, "Embu Das Artes", "SP", 5.0),
         (4314530, "Pinto Bandeira", "RS", 20.0),
         (5, "Xique-Xique", "BA", 65.0),
         (6, "Santa Bárbara D'Oeste", "SP", 10.0),
