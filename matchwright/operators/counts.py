@@ -37,28 +37,10 @@ def find_duplicates(df: DataFrame, keys: str | Sequence[str], name: str = "n") -
     return null_safe_join(df, repeated, list(keys))
 
 
-def keys_with_several(df: DataFrame, by: str, over: str) -> DataFrame:
-    """The ``by`` keys that have two or more distinct ``over`` values (null is
-    a value), found in one combined pass from the extremes alone."""
-    return (
-        df.groupBy(by)
-        .agg(
-            F.min(over).alias("__low"),
-            F.max(over).alias("__high"),
-            F.bool_or(F.col(over).isNull()).alias("__null"),
-            F.bool_or(F.col(over).isNotNull()).alias("__set"),
-        )
-        .filter((F.col("__low") != F.col("__high")) | (F.col("__null") & F.col("__set")))
-        .select(by)
-    )
-
-
 def several_values(df: DataFrame, by: str, over: str, name: str = "n") -> DataFrame:
-    """Distinct (by, over) pairs of every ``by`` that has more than one."""
-    suspects = null_safe_join(
-        df.select(by, over), keys_with_several(df, by, over), by, "left_semi"
-    )
-    return add_group_count(suspects.distinct(), by, name)
+    """Distinct (by, over) pairs of every ``by`` that has more than one; null is
+    a value. ``df`` is read twice: stage it first if it is costly."""
+    return find_duplicates(df.select(by, over).distinct(), by, name)
 
 
 def multiset_difference(

@@ -40,7 +40,7 @@ from matchwright.operators.similarity import fuzzy_join
 from matchwright.plans import matching, quality, reconcile
 from matchwright.plans.coded import clean_coded_source
 from matchwright.sources.literals import flatten_literals
-from matchwright.sources.staging import stage_path
+from matchwright.sources.staging import stage_path, stage_table
 from matchwright.sources.tables import (
     drop_trailer,
     inline_table,
@@ -451,7 +451,8 @@ def reconcile_gaps_long(spark: SparkSession, sf: str) -> DataFrame:
 
 def _conflict(by: str, over: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return reconcile.conflict_report(reconcile_gaps_long(spark, sf), by, over)
+        gaps = stage_table(reconcile_gaps_long(spark, sf), "gaps")
+        return reconcile.conflict_report(gaps, by, over)
 
     return query
 
