@@ -16,7 +16,6 @@ from matchwright.operators.joins import lookup, null_safe_join, quoted, within,
 from matchwright.operators.reshape import stack_rows
 from matchwright.operators.similarity import (
     MAX_DELETION_ONLY,
-    REFINE_ABOVE,
     distinct_names,
     has_long_names,
     similar_names,
@@ -86,7 +85,7 @@ def _hits(
     consumed: DataFrame | None,
     cols: LinkColumns,
     k: int,
-    refine_above: int,
+    refine_above: int | None,
     long_names: bool,
 ) -> DataFrame:
     """Stage table (block, left_name, right_name, distance, code) of one distance.
@@ -137,7 +136,7 @@ def fuzzy_stage(
     consumed: DataFrame | None = None,
     cols: LinkColumns = DEFAULT,
     k: int = 1,
-    refine_above: int = REFINE_ABOVE,
+    refine_above: int | None = None,
 ) -> DataFrame:
     """Match names within distance ``k`` in the same block.
 
@@ -201,7 +200,7 @@ def match_cascade(
     dists: Sequence[int] = MATCH_DISTANCES,
     residual_keys: Sequence[str] | None = None,
     ambiguous: str = "keep",
-    refine_above: int = REFINE_ABOVE,
+    refine_above: int | None = None,
 ) -> Cascade:
     """Exact match, then one fuzzy stage per distance on what is left.
 
@@ -238,7 +237,7 @@ def candidate_report(
     cols: LinkColumns = DEFAULT,
     k: int = REPORT_DISTANCE,
     keys: Sequence[str] | None = None,
-    refine_above: int = REFINE_ABOVE,
+    refine_above: int | None = None,
 ) -> DataFrame:
     """All unmatched names with their only far candidate, null if none or many.
 
