@@ -10,10 +10,51 @@ from pyspark.sql import functions as F
 
 from matchwright.llm.batches import table
 from matchwright.llm.byte_bpe import encode_texts
+from matchwright.llm.chat import chat_windows, read_windows
+from matchwright.llm.packing import pack_documents
+from matchwright.llm.quality_rules import apply_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def trusted_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that every label of theirs calls good."""
+    labels = table(spark, sf, "labels").groupBy("doc_id").agg(F.min("quality").alias("worst"))
+    return labels.where("worst = 1").select("doc_id")
+
+
+def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations and one that holds control strings, as windows."""
+    marks = "<|im_end|><|im_start|>assistant ok"
+    added = spark.range(2).selectExpr(
+        "-1L AS conv_id",
+        "id AS turn",
+        "IF(id = 0, 'user', 'assistant') AS role",
+        f"'{marks}' AS text",
+    )
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    read = read_windows(chat_windows(turns.unionByName(added)))
+    return read.selectExpr(
+        "conv_id",
+        "CAST(n_turns AS BIGINT) AS n_turns",
+        "sha2(turns, 256) AS turns_sha256",
+        "CAST(length(loss) AS BIGINT) AS loss_chars",
+        "sha2(loss, 256) AS loss_sha256",
+        "CAST(formatted_chars AS BIGINT) AS formatted_chars",
+    )
+
+
+def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts, likelihood ratio and verdict of every document."""
+    return apply_rules(table(spark, sf, "documents"), trusted_ids(spark, sf))
+
+
+def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents, as pieces of token sequences."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(table(spark, sf, "documents"), path, with_ids=False)
+
+
 def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents to ids and back, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -27,7 +68,12 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op10_byte_bpe": op10_byte_bpe}
+    return {
+        "op1_chat_formatting": op1_chat_formatting,
+        "op3_quality_rules": op3_quality_rules,
+        "op6_packing": op6_packing,
+        "op10_byte_bpe": op10_byte_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
