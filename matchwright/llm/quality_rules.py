@@ -65,7 +65,8 @@ def ratio_weights(docs: DataFrame, trusted: DataFrame, key: str, text: str) -> n
     ids = trusted.select(F.col(key).alias("key")).na.drop().distinct()
     marked = (
         docs.select(F.col(key).alias("key"), utf8(text).alias("text"))
-        .join(ids.withColumn("trusted", F.lit(True)), "key", "left")
+        # both sides grow with the corpus: shuffled at every size
+        .join(ids.withColumn("trusted", F.lit(True)).hint("merge"), "key", "left")
         .select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     )
     found = gram_counts(marked).toPandas()
