@@ -12,7 +12,9 @@ from matchwright.llm.batches import table
 from matchwright.llm.byte_bpe import encode_texts
 from matchwright.llm.chat import chat_windows, read_windows
 from matchwright.llm.packing import pack_documents
+from matchwright.llm.quality_classifier import classify
 from matchwright.llm.quality_rules import apply_rules
+from matchwright.llm.toxicity import fit, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +46,24 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Score and verdict of every document, from weak labels alone."""
+    return classify(table(spark, sf, "documents"))
+
+
+HELD_OUT = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1"
+
+
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels not held out."""
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "labels").where(f"NOT coalesce({HELD_OUT}, true)")
+    scored = score_toxicity(docs, fit(docs, labels))
+    return scored.selectExpr(
+        "doc_id", f"coalesce({HELD_OUT}, false) AS held_out", "score", "predicted"
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Counts, likelihood ratio and verdict of every document."""
     return apply_rules(table(spark, sf, "documents"), trusted_ids(spark, sf))
@@ -70,6 +90,8 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_formatting": op1_chat_formatting,
+        "op2_quality_classifier": op2_quality_classifier,
+        "op4_toxicity": op4_toxicity,
         "op3_quality_rules": op3_quality_rules,
         "op6_packing": op6_packing,
         "op10_byte_bpe": op10_byte_bpe,
