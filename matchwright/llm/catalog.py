@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from matchwright.llm.batches import table
 from matchwright.llm.byte_bpe import encode_texts
 from matchwright.llm.chat import chat_windows, read_windows
+from matchwright.llm.html_text import extract_main, fit_pages
 from matchwright.llm.packing import pack_documents
 from matchwright.llm.quality_classifier import classify
 from matchwright.llm.quality_rules import apply_rules
@@ -75,6 +76,12 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), path, with_ids=False)
 
 
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf, "pages")
+    return extract_main(pages, fit_pages(pages))
+
+
 def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents to ids and back, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -94,6 +101,7 @@ def queries() -> dict[str, Query]:
         "op4_toxicity": op4_toxicity,
         "op3_quality_rules": op3_quality_rules,
         "op6_packing": op6_packing,
+        "op7_html_extraction": op7_html_extraction,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
