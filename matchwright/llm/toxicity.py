@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from matchwright.llm.batches import map_slices, utf8
 
 DECAY = 0.7
+#: a to z, the start of a word, and classes of all other letters.
+ALPHABET = 40
 LANDMARKS = 128
 #: Labelled rows that train the machine, at most: those of the least hashed key.
 TRAINED = 20_000
@@ -59,9 +61,10 @@ def strings_of(text: str) -> list[str]:
 
 
 def codes(words: list[str]) -> np.ndarray:
-    """Letters of equally long words as numbers below 64."""
+    """Letters of equally long words as numbers below ``ALPHABET``."""
     points = np.array([[ord(c) for c in w] for w in words], np.int64)
-    return np.where((points >= 97) & (points <= 122), points - 97, 26 + points % 38)
+    rest = np.where(points == ord("^"), 26, 27 + points % (ALPHABET - 27))
+    return np.where((points >= 97) & (points <= 122), points - 97, rest)
 
 
 @lru_cache(maxsize=64)
@@ -74,7 +77,7 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Subsequence numbers of equally long words, and their weights."""
     at, weight = _places(len(words[0]))
     c = codes(words)
-    return c[:, at[0]] << 12 | c[:, at[1]] << 6 | c[:, at[2]], weight
+    return (c[:, at[0]] * ALPHABET + c[:, at[1]]) * ALPHABET + c[:, at[2]], weight
 
 
 def self_kernel(words: list[str]) -> np.ndarray:
@@ -105,7 +108,7 @@ def by_length(words: list[str]) -> dict[int, list[int]]:
 
 def explicit(words: list[str]) -> np.ndarray:
     """Unit vectors of words in the kernel's feature space (few words only)."""
-    out = np.zeros((len(words), 1 << 18), np.float32)
+    out = np.zeros((len(words), ALPHABET**3), np.float32)
     for places in by_length(words).values():
         index, weight = subsequences([words[i] for i in places])
         for i, row in zip(places, index):
@@ -162,7 +165,7 @@ def train_machine(toxic: list[str], clean: list[str]) -> Model:
     value, vector = np.linalg.eigh(own)
     used = value > 1e-4
     whiten = vector[:, used] / np.sqrt(value[used])
-    folded = (basis.T @ whiten).astype(np.float32)
+    folded = basis.T @ whiten.astype(np.float32)
     strings = toxic + clean
     x = np.hstack([applied(strings, folded), np.ones((len(strings), 1))])
     y = np.repeat([1.0, -1.0], [len(toxic), len(clean)])
