@@ -15,6 +15,7 @@ from matchwright.llm.html_text import extract_main, fit_pages
 from matchwright.llm.packing import pack_documents
 from matchwright.llm.quality_classifier import classify
 from matchwright.llm.quality_rules import apply_rules
+from matchwright.llm.topk import top_products
 from matchwright.llm.toxicity import fit, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +71,11 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return apply_rules(table(spark, sf, "documents"), trusted_ids(spark, sf))
 
 
+def op5_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 largest products of every twentieth vector with all others."""
+    return top_products(table(spark, sf, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents, as pieces of token sequences."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -100,11 +106,32 @@ def queries() -> dict[str, Query]:
         "op2_quality_classifier": op2_quality_classifier,
         "op4_toxicity": op4_toxicity,
         "op3_quality_rules": op3_quality_rules,
+        "op5_exact_topk": op5_exact_topk,
         "op6_packing": op6_packing,
         "op7_html_extraction": op7_html_extraction,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
 
+OP5_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+        CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT query_id,
+        CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_exact_topk": OP5_SQL}
