@@ -12,6 +12,7 @@ from matchwright.llm.batches import table
 from matchwright.llm.byte_bpe import encode_texts
 from matchwright.llm.chat import chat_windows, read_windows
 from matchwright.llm.html_text import extract_main, fit_pages
+from matchwright.llm.near_join import near_components
 from matchwright.llm.packing import pack_documents
 from matchwright.llm.quality_classifier import classify
 from matchwright.llm.quality_rules import apply_rules
@@ -88,6 +89,11 @@ def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return extract_main(pages, fit_pages(pages))
 
 
+def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its component of near copies."""
+    return near_components(table(spark, sf, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents to ids and back, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -109,6 +115,7 @@ def queries() -> dict[str, Query]:
         "op5_exact_topk": op5_exact_topk,
         "op6_packing": op6_packing,
         "op7_html_extraction": op7_html_extraction,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
