@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from matchwright.sources.staging import stage_table
 
-BLOCK = 4096
+BLOCK = 2048
 STEP = 512
+TOGETHER = 128
 HEADS = (12, 28)
+MOST_TASKS = 10_000
 LOWEST = np.iinfo(np.int64).min
 
 
@@ -107,14 +109,27 @@ def meet(
     k: int,
 ) -> Best:
     """The k best of ``vectors`` for each query that score ``floor`` or more."""
-    best = Best(len(queries), k, floor.copy())
-    q, x = queries @ axes, vectors @ axes
+    x = vectors @ axes
     length = np.sqrt((x * x).sum(axis=1))
     order = np.argsort(-length, kind="stable")
     x, length, ids, vectors = x[order], length[order], ids[order], vectors[order]
     heads = [h for h in HEADS if h < x.shape[1]]
-    rest_q = [np.sqrt((q[:, h:] ** 2).sum(axis=1)) for h in heads]
     rest_x = [np.sqrt((x[:, h:] ** 2).sum(axis=1)) for h in heads]
+    best = Best(len(queries), k, floor.copy())
+    for start in range(0, len(queries), TOGETHER):
+        part = slice(start, start + TOGETHER)
+        own = Best(len(queries[part]), k, best.floor[part])
+        _meet_few(own, queries[part], query_ids[part], x, length, rest_x, heads, vectors, ids, axes)
+        best.row = np.concatenate([best.row, own.row + start])
+        best.score = np.concatenate([best.score, own.score])
+        best.id = np.concatenate([best.id, own.id])
+    return best
+
+
+def _meet_few(best, queries, query_ids, x, length, rest_x, heads, vectors, ids, axes) -> None:
+    """``meet`` for so few queries that all their pairs in a step fit in memory."""
+    q = queries @ axes
+    rest_q = [np.sqrt((q[:, h:] ** 2).sum(axis=1)) for h in heads]
     length_q = np.sqrt((q * q).sum(axis=1))
     for a in range(0, len(x), STEP):
         b = min(a + STEP, len(x))
@@ -141,7 +156,6 @@ def meet(
         score = np.einsum("pd,pd->p", queries[i], vectors[j])
         enough = score >= best.floor[i]
         best.add(i[enough], score[enough], ids[j[enough]])
-    return best
 
 
 def top_products(
@@ -229,6 +243,9 @@ def top_products(
     held = blocks.select("id", "vec", "block").withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
     )
+    # a task per pair of groups: they read little and compute much
+    tasks = min(n_blocks * chunks, MOST_TASKS)
+    asked, held = (side.repartition(tasks, "block", "chunk") for side in (asked, held))
     met = (
         asked.groupBy("block", "chunk")
         .cogroup(held.groupBy("block", "chunk"))
