@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,19 +16,14 @@ from matchwright.llm.html_text import extract_main, fit_pages
 from matchwright.llm.near_join import near_components
 from matchwright.llm.packing import pack_documents
 from matchwright.llm.quality_classifier import classify
-from matchwright.llm.quality_rules import apply_rules
+from matchwright.llm.quality_rules import apply_rules, labelled_good
+from matchwright.llm.substrings import remove_repeats
 from matchwright.llm.topk import top_products
 from matchwright.llm.toxicity import fit, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def trusted_ids(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents that every label of theirs calls good."""
-    labels = table(spark, sf, "labels").groupBy("doc_id").agg(F.min("quality").alias("worst"))
-    return labels.where("worst = 1").select("doc_id")
-
-
 def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     """All conversations and one that holds control strings, as windows."""
     marks = "<|im_end|><|im_start|>assistant ok"
@@ -69,7 +65,8 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Counts, likelihood ratio and verdict of every document."""
-    return apply_rules(table(spark, sf, "documents"), trusted_ids(spark, sf))
+    trusted = labelled_good(table(spark, sf, "labels"))
+    return apply_rules(table(spark, sf, "documents"), trusted)
 
 
 def op5_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,6 +86,13 @@ def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return extract_main(pages, fit_pages(pages))
 
 
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the passages that an earlier one holds."""
+    return remove_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with its component of near copies."""
     return near_components(table(spark, sf, "documents"))
@@ -108,6 +112,7 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_chat_formatting": op1_chat_formatting,
         "op2_quality_classifier": op2_quality_classifier,
         "op4_toxicity": op4_toxicity,
@@ -115,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op5_exact_topk": op5_exact_topk,
         "op6_packing": op6_packing,
         "op7_html_extraction": op7_html_extraction,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_byte_bpe": op10_byte_bpe,
     }
@@ -141,4 +147,5 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_topk": OP5_SQL}
+    found = {"op5_exact_topk": OP5_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: sql for name, sql in found.items() if sql}

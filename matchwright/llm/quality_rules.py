@@ -35,6 +35,12 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
 
+def labelled_good(labels: DataFrame, key: str = "doc_id", label: str = "quality") -> DataFrame:
+    """Keys that every label of theirs calls good."""
+    worst = labels.groupBy(key).agg(F.min(label).alias("worst"))
+    return worst.where("worst = 1").select(key)
+
+
 def gram_counts(marked: DataFrame) -> DataFrame:
     """(bucket, raw, target) summed over (text, trusted); combined per task."""
 
