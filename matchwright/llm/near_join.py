@@ -31,7 +31,7 @@ from matchwright.sources.staging import stage_table
 SHINGLE = 4
 PERCENT = 85
 BINS = 96
-COARSE = 16
+COARSE = 48
 CACHED = 400_000
 
 _A, _B, _C = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
