@@ -16,6 +16,7 @@ from matchwright.operators.joins import lookup, null_safe_join, quoted, within,
 from matchwright.operators.reshape import stack_rows
 from matchwright.operators.similarity import (
     MAX_DELETION_ONLY,
+    alike,
     distinct_names,
     has_long_names,
     similar_names,
@@ -142,8 +143,10 @@ def fuzzy_stage(
 
     Registry rows whose code is in ``consumed`` are out of the pool. One row
     per hit: source columns, code, matched name, distance and ``n_matches``,
-    the hits of that (name, block).
+    the hits of that (name, block). Blocks of different types are compared, and
+    come out, in their common type.
     """
+    unmatched, registry = alike(unmatched, registry, [cols.name, cols.block])
     long_names = k <= MAX_DELETION_ONLY and has_long_names(registry, cols.name)
     hits = _hits(unmatched, registry, consumed, cols, k, refine_above, long_names)
     return _stage_rows(unmatched, hits, cols)
@@ -206,8 +209,10 @@ def match_cascade(
 
     A stage takes its hits' names out of the unmatched rows (by
     ``residual_keys``, default name and block; name alone removes a hit name in
-    every block) and its codes out of the pool of the next stages.
+    every block) and its codes out of the pool of the next stages. Blocks of
+    different types are compared, and come out, in their common type.
     """
+    src, registry = alike(src, registry, [cols.name, cols.block])
     residual = list(residual_keys or cols.exact_key)
     to_hit = {cols.name: "left_name", cols.block: "block"}
     joined = stage_table(exact_match(src.select(*cols.source), registry, cols), "exact")
@@ -241,9 +246,11 @@ def candidate_report(
 ) -> DataFrame:
     """All unmatched names with their only far candidate, null if none or many.
 
-    Candidates are joined back by ``keys``, by default the name alone.
+    Candidates are joined back by ``keys``, by default name and block, as the
+    cascade's own residual is.
     """
-    keys = list(keys or [cols.name])
+    keys = list(keys or cols.exact_key)
+    unmatched, registry = alike(unmatched, registry, [cols.name, cols.block])
     far = (
         fuzzy_stage(unmatched, registry, consumed, cols, k, refine_above)
         .filter(F.col("n_matches") == 1)

@@ -60,23 +60,48 @@ def _times_others(tags: Sequence[str], tag: str) -> Column:
     return reduce(lambda a, b: a * b, others, F.lit(1).cast("bigint"))
 
 
-def _repeated(df: DataFrame, times: Column, columns: Sequence[str]) -> DataFrame:
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), times))
-    return df.withColumn("__copy", copies).select(*columns)
+# Copies that one step of the spreading makes of a row.
+_AT_ONCE = 1 << 16
 
 
-def agreed_rows(sources: Sources, key: str, value: str, preferred: str) -> DataFrame:
-    """(key, value) of the keys that all sources hold, valued by ``preferred``."""
+def _repeated(
+    df: DataFrame, times: Column, columns: Sequence[str], counted: str | None
+) -> DataFrame:
+    """Each row ``times`` over, or once with that number as column ``counted``.
+
+    Rows are spread in two steps, of blocks of copies and of the copies of a
+    block, so that no array grows with the product of the sources' counts.
+    """
+    if counted is not None:
+        return df.select(*columns, times.alias(counted))
+    last = F.lit(_AT_ONCE).cast("bigint")
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(__times - 1) DIV {_AT_ONCE}"))
+    spread = df.withColumn("__times", times).where("__times > 0").withColumn("__block", F.explode(blocks))
+    left = F.least(F.col("__times") - F.col("__block") * last, last)
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), left))
+    return spread.withColumn("__copy", copies).select(*columns)
+
+
+def agreed_rows(
+    sources: Sources, key: str, value: str, preferred: str, counted: str | None = None
+) -> DataFrame:
+    """(key, value) of the keys that all sources hold, valued by ``preferred``.
+
+    A key that sources repeat comes out as often as joins would make it;
+    ``counted`` names a column that says how often instead. Null is a key.
+    """
     census = key_census(sources, key).filter("in_all")
     rows = null_safe_join(sources[preferred].select(key, value), census, key)
-    return _repeated(rows, _times_others(list(sources), preferred), [key, value])
+    return _repeated(rows, _times_others(list(sources), preferred), [key, value], counted)
 
 
-def value_conflicts(sources: Sources, key: str, value: str) -> DataFrame:
+def value_conflicts(
+    sources: Sources, key: str, value: str, counted: str | None = None
+) -> DataFrame:
     """Keys of all sources whose first source's value differs from another's.
 
     Nulls never differ. Equal (key, value) rows of a source are counted before
-    the joins and spread out after the filter.
+    the joins and spread out after the filter, or counted, as in ``agreed_rows``.
     """
     tags = list(sources)
     frames = [
@@ -89,7 +114,9 @@ def value_conflicts(sources: Sources, key: str, value: str) -> DataFrame:
     first = F.col(f"{value}_{tags[0]}")
     differs = reduce(lambda a, b: a | b, [first != F.col(f"{value}_{t}") for t in tags[1:]])
     times = reduce(lambda a, b: a * b, [F.col(f"__n_{t}") for t in tags])
-    return _repeated(joined.filter(differs), times, [key, *[f"{value}_{t}" for t in tags]])
+    return _repeated(
+        joined.filter(differs), times, [key, *[f"{value}_{t}" for t in tags]], counted
+    )
 
 
 def gap_rows_wide(
@@ -103,11 +130,16 @@ def gap_rows_wide(
 
 
 def gap_rows_long(
-    sources: Sources, key: str, columns: Sequence[str], tag: str = "source"
+    sources: Sources,
+    key: str,
+    columns: Sequence[str],
+    tag: str = "source",
+    counted: str | None = None,
 ) -> DataFrame:
     """One row per key and holding source, for keys that some source lacks.
 
-    Rows whose columns are all null are dropped.
+    Rows whose columns are all null are dropped; repeated keys as in
+    ``agreed_rows``.
     """
     tags = list(sources)
     census = key_census(sources, key).filter(~F.col("in_all"))
@@ -120,7 +152,7 @@ def gap_rows_long(
         tags,
         F.lit(1).cast("bigint"),
     )
-    return _repeated(held, times, [key, tag, *columns])
+    return _repeated(held, times, [key, tag, *columns], counted)
 
 
 def gaps_to_long(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Every broadcast in this library is Spark's own choice, made against
@@ -36,4 +38,16 @@ def local_session(
     )
     for key, value in {**RECOMMENDED, **(extra or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return name_stage_folder(builder.getOrCreate())
+
+
+def name_stage_folder(spark: SparkSession) -> SparkSession:
+    """Give a local session without a stage folder one of its own.
+
+    On a cluster the folder must be shared, and so must be named by whoever
+    sets the session up (``spark.checkpoint.dir``).
+    """
+    local = spark.conf.get("spark.master", "").startswith("local")
+    if spark.conf.get("spark.checkpoint.dir", None) is None and local:
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="matchwright-"))
+    return spark

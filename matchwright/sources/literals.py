@@ -15,6 +15,16 @@ def quote_bare_keys(text: Column) -> Column:
     return F.regexp_replace(text, BARE_KEY_PATTERN, BARE_KEY_REPLACEMENT)
 
 
+def _parsed(text_col: str) -> Column:
+    return F.from_json(quote_bare_keys(F.col(text_col)), _NESTED)
+
+
+def rejected_literals(df: DataFrame, text_col: str) -> DataFrame:
+    """The rows of ``df`` whose record ``flatten_literals`` cannot read."""
+    doc = _parsed(text_col)
+    return df.where(doc.isNull() | F.exists(F.map_values(doc), lambda inner: inner.isNull()))
+
+
 def flatten_literals(
     df: DataFrame,
     text_col: str,
@@ -24,16 +34,21 @@ def flatten_literals(
 ) -> DataFrame:
     """``{outer: {inner: ["v"]}}`` in a text column to one row per leaf.
 
-    Each record is parsed on its own, so any number of rows and files run in
-    parallel. A leaf array that does not hold exactly one element raises.
-    Other columns of ``df`` are kept.
+    Each record is parsed once and on its own, so any number of rows and files
+    run in parallel. A record that does not read as such a literal (null, cut
+    short, a null in place of an inner object) raises; ``rejected_literals``
+    finds those beforehand. So does a leaf array that does not hold exactly one
+    element. An empty object has no leaves and so no rows. Of a repeated key
+    the last one counts. Other columns of ``df`` are kept.
     """
     keep = [F.col(c) for c in df.columns if c != text_col]
-    parsed = df.select(
-        *keep, F.from_json(quote_bare_keys(F.col(text_col)), _NESTED).alias("__doc")
-    )
-    blocks = parsed.select(*keep, F.explode("__doc").alias(outer, "__inner"))
-    leaves = blocks.select(*keep, outer, F.explode("__inner").alias(inner, "__leaf"))
+    bad = F.raise_error(F.lit("a record is not a readable literal"))
+    parsed = df.select(*keep, F.coalesce(_parsed(text_col), bad).alias("__doc"))
+    # outer: from an inner explode the optimizer infers a filter that parses again
+    blocks = parsed.select(*keep, F.explode_outer("__doc").alias(outer, "__inner"))
+    blocks = blocks.where(F.col(outer).isNotNull()).withColumn("__inner", F.coalesce("__inner", bad))
+    leaves = blocks.select(*keep, outer, F.explode_outer("__inner").alias(inner, "__leaf"))
+    leaves = leaves.where(F.col(inner).isNotNull())
     single = F.when(F.size("__leaf") == 1, F.element_at("__leaf", 1)).otherwise(
         F.raise_error(F.lit("a leaf of the literal is not a one-element array"))
     )

@@ -8,7 +8,6 @@ pushdown and an exact size for the join planner.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,21 +16,20 @@ SETTING = "spark.checkpoint.dir"
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared stage folder; a local master without one gets its own."""
+    """The shared stage folder, as the session names it."""
     root = spark.conf.get(SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not root:
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="matchwright-")
-    spark.conf.set(SETTING, root)
-    return root
+    return root.rstrip("/")
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{stage_root(spark)}/matchwright/{spark.conf.get('spark.app.id', 'app')}"
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the stage folder."""
-    app = spark.conf.get("spark.app.id", "app")
-    return f"{stage_root(spark)}/matchwright/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -40,3 +38,9 @@ def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     path = stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete all stage tables of this application; frames over them end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

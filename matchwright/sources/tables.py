@@ -10,36 +10,37 @@ from pyspark.sql.types import StructType
 
 # How a missing value is spelled in delimited files.
 NULL_TOKEN = "NA"
+# Quotes inside a quoted field are doubled; blanks belong to a field.
+_DIALECT = {
+    "header": True,
+    "nullValue": NULL_TOKEN,
+    "encoding": "UTF-8",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def read_delimited(
-    spark: SparkSession, path: str | list[str], schema: StructType | str
+    spark: SparkSession, path: str | list[str], schema: StructType | str, multi_line: bool = True
 ) -> DataFrame:
-    """Comma-separated files with a header; ``NA`` and empty fields are null.
+    """Comma-separated files with a header, quoted as RFC 4180 has it.
 
-    The schema is declared, so the files are read once, and only the columns a
-    query needs are parsed.
+    ``NA`` and empty fields are null, a quoted empty field (``""``) is empty
+    text. The schema is declared, so the files are read once, and only the
+    columns a query needs are parsed. Line breaks inside quotes need
+    ``multi_line``, under which a file is one task; without them switch it off
+    and large files are split.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("nullValue", NULL_TOKEN)
-        .option("emptyValue", "")
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    reader = spark.read.schema(schema).options(**_DIALECT)
+    return reader.option("emptyValue", "").option("multiLine", multi_line).csv(path)
 
 
 def write_delimited(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write comma-separated files with a header, nulls as ``NA``."""
-    (
-        df.write.mode(mode)
-        .option("header", True)
-        .option("nullValue", NULL_TOKEN)
-        .option("emptyValue", "")
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    """Write comma-separated files with a header: nulls as ``NA``, empty text as
+    ``""``. (A text that is ``NA`` cannot be told from a null when read.)"""
+    df.write.mode(mode).options(**_DIALECT).option("emptyValue", '""').csv(path)
 
 
 def read_landed(
@@ -54,7 +55,7 @@ def read_landed(
     if schema is not None:
         reader = reader.schema(schema)
     if file_format == "csv":
-        reader = reader.option("header", True).option("nullValue", NULL_TOKEN)
+        reader = reader.options(**_DIALECT).option("emptyValue", "").option("multiLine", True)
     return reader.load(path).withColumnsRenamed(dict(renames))
 
 

@@ -42,6 +42,16 @@ CODED = {"s1": ("F", S1_NAME, S1_VALUE), "s2": ("O", S2_NAME, S2_VALUE), "s3": (
 SHOUTED_PART = (
     "concat(upper(replace(p_name, ' ', '-')), ' DO ', p_type, ' DA D''OESTE DE ', upper(p_brand))"
 )
+# Texts that a delimited file has to quote, keep or tell from null.
+AWKWARD_TEXT = """CASE c_custkey % 8
+    WHEN 0 THEN concat('say "', c_name, '" now')
+    WHEN 1 THEN concat('a,b,', c_name)
+    WHEN 2 THEN concat('line one', chr(10), c_name)
+    WHEN 3 THEN concat('  ', c_name, '  ')
+    WHEN 4 THEN concat('back', chr(92), c_name, chr(92))
+    WHEN 5 THEN ''
+    WHEN 6 THEN '"'
+    ELSE c_name END"""
 # Account balances as text of mixed quality.
 BALANCE_TEXT = (
     "CASE WHEN c_acctbal < -500 THEN 'n/a' WHEN c_acctbal < 0 THEN ''"

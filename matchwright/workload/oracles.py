@@ -150,7 +150,7 @@ _BALANCE = inputs.BALANCE_TEXT.format(text="VARCHAR")
 def oracle_sql() -> dict[str, str]:
     return {
         "csv_roundtrip": f"""SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE {inputs.S3_NAME} END AS c_name,
-            c_nationkey, CASE WHEN c_acctbal > 9000 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer""",
+            {inputs.AWKWARD_TEXT} AS note, c_nationkey, CASE WHEN c_acctbal > 9000 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer""",
         "scan_rename_headers": """SELECT s_suppkey AS code, s_name AS name, s_nationkey AS block,
             s_acctbal AS value FROM supplier""",
         "drop_trailer_rows": """SELECT * FROM orders WHERE o_orderkey NOT IN
@@ -196,6 +196,7 @@ def oracle_sql() -> dict[str, str]:
         "multi_source_full": f"WITH {_FULL} SELECT * FROM fulls",
         "fuzzy_join_k1": _fuzzy(1),
         "fuzzy_join_k2": _fuzzy(2),
+        "fuzzy_join_mixed_block": _fuzzy(1),
         "fuzzy_join_k5": _fuzzy(5, "un0", "pool0"),
         "osa_distance_pairs": f"""SELECT c_custkey, CAST({_osa('a', 'b')} AS INTEGER) AS distance
             FROM (SELECT c_custkey, {inputs.DAMAGED_NAME} AS a, c_name AS b FROM customer)""",
@@ -249,6 +250,12 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 's2', count(*) - count(value) FROM s2
             UNION ALL SELECT 's3', count(*) - count(value) FROM s3""",
         "reconcile_agreed": f"WITH {_FULL} SELECT code, value_s2 AS value FROM inners",
+        "reconcile_agreed_repeated": f"""WITH {_FULL}, {", ".join(
+            f"r_{t} AS (SELECT CASE WHEN code % 50 <> 0 THEN code // 2 END AS code, value FROM {t})"
+            for t in ("s1", "s2", "s3"))}, n1 AS (SELECT code, count(*) AS n FROM r_s1 GROUP BY code),
+            n3 AS (SELECT code, count(*) AS n FROM r_s3 GROUP BY code)
+            SELECT r.code, r.value, n1.n * n3.n AS n FROM r_s2 r
+            JOIN n1 ON r.code IS NOT DISTINCT FROM n1.code JOIN n3 ON r.code IS NOT DISTINCT FROM n3.code""",
         "reconcile_value_conflicts": f"""WITH {_FULL} SELECT * FROM inners
             WHERE value_s1 <> value_s2 OR value_s1 <> value_s3""",
         "reconcile_gaps_wide": f"WITH {_GAPS} SELECT * FROM wide",

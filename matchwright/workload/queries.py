@@ -70,6 +70,7 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     out = table(spark, sf, "customer").select(
         "c_custkey",
         F.expr(f"CASE WHEN c_acctbal < 0 THEN NULL ELSE {inputs.S3_NAME} END").alias("c_name"),
+        F.expr(inputs.AWKWARD_TEXT).alias("note"),
         "c_nationkey",
         F.expr("CASE WHEN c_acctbal > 9000 THEN NULL ELSE c_acctbal END").alias("c_acctbal"),
     )
@@ -255,6 +256,14 @@ def _fuzzy(k: int) -> Query:
     return query
 
 
+def fuzzy_join_mixed_block(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``fuzzy_join_k1``, the registry's blocks in a wider type."""
+    pool = inputs.registry(spark, sf).drop("segment")
+    pool = pool.withColumn("block", F.col("block").cast("bigint"))
+    source = inputs.name_source(spark, sf)
+    return fuzzy_join(source.withColumn("block", F.col("block").cast("int")), pool, 1)
+
+
 def fuzzy_join_k5(spark: SparkSession, sf: str) -> DataFrame:
     """Names without an exact match against the registry rows no source row took."""
     source, official = inputs.name_source(spark, sf), inputs.registry(spark, sf)
@@ -437,6 +446,15 @@ def reconcile_agreed(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.agreed_rows(inputs.coded_sources(spark, sf), "code", "value", "s2")
 
 
+def reconcile_agreed_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Agreed rows of sources that repeat codes and lack some, counted."""
+    code = F.expr("CASE WHEN code % 50 <> 0 THEN code DIV 2 END")
+    sources = {
+        tag: rows.withColumn("code", code) for tag, rows in inputs.coded_sources(spark, sf).items()
+    }
+    return reconcile.agreed_rows(sources, "code", "value", "s2", counted="n")
+
+
 def reconcile_value_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.value_conflicts(inputs.coded_sources(spark, sf), "code", "value")
 
@@ -512,6 +530,7 @@ def queries() -> dict[str, Query]:
         "fuzzy_join_k1": _fuzzy(1),
         "fuzzy_join_k2": _fuzzy(2),
         "fuzzy_join_k5": fuzzy_join_k5,
+        "fuzzy_join_mixed_block": fuzzy_join_mixed_block,
         "osa_distance_pairs": osa_distance_pairs,
         "add_group_count": group_count,
         "duplicate_keys_single": duplicate_keys_single,
@@ -538,6 +557,7 @@ def queries() -> dict[str, Query]:
         "rows_per_source": rows_per_source,
         "nulls_per_source": nulls_per_source,
         "reconcile_agreed": reconcile_agreed,
+        "reconcile_agreed_repeated": reconcile_agreed_repeated,
         "reconcile_value_conflicts": reconcile_value_conflicts,
         "reconcile_gaps_wide": reconcile_gaps_wide,
         "reconcile_gaps_long": reconcile_gaps_long,

@@ -92,3 +92,16 @@ def test_profiles_and_checks(spark, sources, rows):
         "duplicate_name_block": (2, "a|x"),
         "not_covered": (1, "3"),
     }
+
+
+def test_very_many_null_keys_are_counted(spark):
+    rows = spark.range(60_000).selectExpr("CAST(NULL AS BIGINT) AS code", "1 AS value")
+    sources = {t: rows for t in ("a", "b", "c")}
+    got = reconcile.agreed_rows(sources, "code", "value", "a", counted="n")
+    assert got.agg({"n": "sum"}).first()[0] == 60_000**3
+
+
+def test_repeated_keys_are_spread_in_blocks(spark):
+    one = spark.sql("SELECT 1 AS code, 5 AS value")
+    many = spark.range(400).selectExpr("1 AS code", "5 AS value")
+    assert reconcile.agreed_rows({"a": one, "b": many, "c": many}, "code", "value", "a").count() == 160_000

@@ -1,7 +1,8 @@
 import pytest
 
+from matchwright.session import name_stage_folder
 from matchwright.sources import staging
-from matchwright.sources.literals import flatten_literals, read_object_literals
+from matchwright.sources.literals import flatten_literals, read_object_literals, rejected_literals
 from matchwright.sources.tables import (
     drop_trailer,
     inline_table,
@@ -84,4 +85,36 @@ def test_stage_root_is_the_clusters_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.stage_root(_Session(**{"spark.master": "yarn"}))
     local = _Session(**{"spark.master": "local[2]"})
-    assert staging.stage_root(local) == local.conf["spark.checkpoint.dir"]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.stage_root(local)
+    assert staging.stage_root(name_stage_folder(local)) == local.conf["spark.checkpoint.dir"]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.stage_root(name_stage_folder(_Session(**{"spark.master": "yarn"})))
+
+
+def test_csv_keeps_quotes_breaks_blanks_and_empty_text(spark, rows, tmp_path):
+    values = ['say "hi"', "a,b", "one\ntwo", "  pad ", "back\\slash\\", "", '"', "x\\,y", None]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, t string")
+    write_delimited(df, str(tmp_path / "out"))
+    assert rows(read_delimited(spark, str(tmp_path / "out"), df.schema)) == rows(df)
+
+
+def test_csv_written_by_hand(spark, rows, tmp_path):
+    (tmp_path / "in.csv").write_text('id,t,u\n1,"say ""hi"" now",x\n2,"one\ntwo", y\n3,"",\n')
+    got = rows(read_delimited(spark, str(tmp_path / "in.csv"), "id int, t string, u string"))
+    assert got == [(1, 'say "hi" now', "x"), (2, "one\ntwo", " y"), (3, "", None)]
+
+
+@pytest.mark.parametrize("bad", ["{A:{B:[", "no literal", None, "{A:null}"])
+def test_unreadable_literals_raise_or_are_told(spark, bad):
+    df = spark.createDataFrame([(1, '{A:{B:["1"]}}'), (2, bad), (3, "{}")], "id int, t string")
+    with pytest.raises(Exception, match="readable literal"):
+        flatten_literals(df, "t").collect()
+    assert [r.id for r in rejected_literals(df, "t").collect()] == [2]
+    assert flatten_literals(df.where("id <> 2"), "t").count() == 1
+
+
+def test_literals_are_parsed_once(spark):
+    df = spark.createDataFrame([('{A:{B:["1"]}}',)], "t string")
+    plan = flatten_literals(df, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
