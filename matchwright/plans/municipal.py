@@ -78,7 +78,7 @@ def clean_source_1(raw: DataFrame, registry: DataFrame, residual_keys=BY_NAME) -
     rows = apply_exclusions(raw.withColumnsRenamed(SOURCE_1_HEADERS), SOURCE_1_EXCLUSIONS)
     cascade = match_cascade(rows, registry, COLUMNS, MATCH_DISTANCES, residual_keys)
     problems = candidate_report(
-        cascade.unmatched, registry, cascade.consumed, COLUMNS, REPORT_DISTANCE
+        cascade.unmatched, registry, cascade.consumed, COLUMNS, REPORT_DISTANCE, BY_NAME
     )
     corrections = inline_table(
         raw.sparkSession, [COLUMNS.name, COLUMNS.corrected], CROSSWALK_SOURCE_1
