@@ -25,10 +25,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchwright.llm.batches import map_slices, utf8
+from matchwright.sources.staging import stage_table
 
 DECAY = 0.7
 #: a to z, the start of a word, and classes of all other letters.
@@ -36,6 +38,10 @@ ALPHABET = 40
 LANDMARKS = 128
 #: Labelled rows that train the machine, at most: those of the least hashed key.
 TRAINED = 20_000
+#: Rows of one label are near copies from this share of common words on.
+COPY = 0.8
+#: Bands of minima that find them.
+BANDS, MINIMA = 10, 3
 #: Strings that train it, at most, of either kind.
 STRINGS = 4_000
 PIECE, STEP = 21, 10
@@ -198,34 +204,64 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str)
         .select((F.col("label") == 1).alias("toxic"), "text")
     )
 
+    return _without_near_copies(rows.distinct().withColumn("id", F.xxhash64("text")))
+
+
+def _without_near_copies(rows: DataFrame) -> DataFrame:
+    """(toxic, text) of (toxic, text, id), bounded, without later near copies.
+
+    A row goes if a row of its label that stays has ``COPY`` of their words in
+    common. Minima of hashed words in bands name the pairs to compare; the
+    whole sets of words decide.
+    """
+
     def make():
-        salts = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+        salts = np.random.default_rng(7).integers(1 << 62, size=BANDS * MINIMA, dtype=np.uint64)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            marks = []
+            words, bands = [], []
             for text in batch.column("text").to_pylist():
-                codes = [int.from_bytes(w[:8], "little") * 31 + len(w) for w in set(text.split())]
-                hashed = np.array([c & (1 << 64) - 1 for c in codes] or [0], np.uint64)
-                mixed = (hashed[:, None] ^ salts) * salts[::-1]
-                marks.append((mixed ^ (mixed >> np.uint64(29))).min(axis=0).view(np.int64))
-            columns = [pa.array([m[k] for m in marks], pa.int64()) for k in range(3)]
+                own = np.array([xxhash.xxh64_intdigest(w) for w in set(text.split())] or [0], np.uint64)
+                least = np.full(len(salts), ~np.uint64(0))
+                for start in range(0, len(own), 4096):
+                    mixed = (own[start : start + 4096, None] ^ salts) * np.uint64(0x9E3779B97F4A7C15)
+                    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+                    least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0))
+                words.append(own.view(np.int64))
+                bands.append([
+                    f"{k}:{xxhash.xxh64_intdigest(band.tobytes())}"
+                    for k, band in enumerate(least.reshape(BANDS, MINIMA))
+                ])
+            kinds = (pa.list_(pa.int64()), pa.list_(pa.string()))
             return pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), batch.column("text"), *columns],
-                ["toxic", "text", "m0", "m1", "m2"],
+                [
+                    *(batch.column(c) for c in ("toxic", "text", "id")),
+                    *(pa.array(c, kind) for c, kind in zip((words, bands), kinds)),
+                ],
+                ["toxic", "text", "id", "words", "bands"],
             )
 
         return work
 
-    marked = map_slices(
-        rows, "text", "toxic boolean, text binary, m0 long, m1 long, m2 long", make
+    schema = "toxic boolean, text binary, id long, words array<long>, bands array<string>"
+    marked = stage_table(map_slices(rows, "text", schema, make), "labelled")
+    met = marked.select("toxic", "id", F.explode("bands").alias("band"))
+    least = met.groupBy("toxic", "band").agg(F.min("id").alias("one"))
+    pairs = met.join(F.broadcast(least), ["toxic", "band"]).where("id <> one")
+    pairs = pairs.select("toxic", "one", "id").distinct()
+    one = marked.select("toxic", F.col("id").alias("one"), F.col("words").alias("one_words"))
+    both = pairs.join(marked.select("toxic", "id", "words").hint("merge"), ["toxic", "id"]).join(
+        one.hint("merge"), ["toxic", "one"]
     )
-    # copies share a minimum: of each, one row of either label remains
-    for k in range(3):
-        by = [F.col(f"m{j}") for j in range(3) if j != k]
-        marked = marked.groupBy("toxic", f"m{k}").agg(
-            F.min(F.struct(*by, "text")).alias("one")
-        ).select("toxic", f"m{k}", "one.*")
-    return marked.select("toxic", "text")
+    common = "size(array_intersect(words, one_words))"
+    near = both.where(f"{common} >= {COPY}D * (size(words) + size(one_words) - {common})")
+    gone: set[tuple[bool, int]] = set()
+    for r in sorted(near.select("toxic", "id", "one").collect()):  # least ids first
+        if (r.toxic, r.one) not in gone:
+            gone.add((r.toxic, r.id))
+    kind = "toxic boolean, id long"
+    left = rows.sparkSession.createDataFrame(sorted(gone), kind)
+    return marked.join(F.broadcast(left), ["toxic", "id"], "left_anti").select("toxic", "text")
 
 
 def string_counts(sample: DataFrame) -> DataFrame:
