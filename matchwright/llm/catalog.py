@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 from matchwright.llm.batches import table
 from matchwright.llm.byte_bpe import encode_texts
 from matchwright.llm.chat import chat_windows, read_windows
+from matchwright.llm.cross_tokens import align_documents
 from matchwright.llm.html_text import extract_main, fit_pages
 from matchwright.llm.near_join import near_components
 from matchwright.llm.packing import pack_documents
+from matchwright.llm.prefix_counts import n_tokens, prefix_counts
 from matchwright.llm.quality_classifier import classify
 from matchwright.llm.quality_rules import apply_rules, labelled_good
 from matchwright.llm.substrings import remove_repeats
 from matchwright.llm.topk import top_products
 from matchwright.llm.toxicity import fit, score_toxicity
+from matchwright.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +113,27 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document, the last of its prefixes' counts."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counted = prefix_counts(table(spark, sf, "documents"), path)
+    counted = counted.select("doc_id", "n_bytes", n_tokens().alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vector along the first 16 whitened components."""
+    found = whiten(table(spark, sf, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_cross_tokenizer(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, aligned; groups as digests."""
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = align_documents(table(spark, sf, "documents"), *paths, with_groups=False)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -123,6 +147,9 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_token_counts": op11_token_counts,
+        "op12_embedding_whitening": op12_embedding_whitening,
+        "op13_cross_tokenizer": op13_cross_tokenizer,
     }
 
 
