@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from matchwright.llm.batches import map_slices, utf8
 from matchwright.llm.byte_level import RUNS, WHITE_RUN, letter_bytes, token_bytes
 
-CACHED_BYTES = 96 << 20
+CACHED_BYTES = 160 << 20
 PAIRS = 1 << 20
 # one word of letters that all versions of Unicode call so, after a blank at most
 _WORD = re.compile(r" ?(?:[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ʯ]+)([!-&(-/:-@]*)")
@@ -71,6 +71,7 @@ class Merges:
             self.tokens.add_word(token.decode("latin-1"), rank)
         self.tokens.make_automaton()
         self.kept: dict[int, bool] = {}
+        self.before: tuple[bytes, list[int], list[int]] = (b"", [0], [0])
 
     def keeps(self, left: int, right: int) -> bool:
         """Whether these two tokens, in this order, are the encoding of their bytes.
@@ -97,10 +98,16 @@ class Merges:
         """Tokens of each prefix of ``word``, that of no bytes first.
 
         The automaton names the tokens that end at a byte longest first; just
-        one of them keeps its place.
+        one of them keeps its place. What the word has in common with the one
+        before it is known already.
         """
         size, kept, keeps = self.size, self.kept, self.keeps
-        last, count, done = [0], [0], 0
+        before, last, count = self.before
+        same, most = 0, min(len(before), len(word))
+        while same < most and before[same] == word[same]:
+            same += 1
+        last, count = last[: same + 1], count[: same + 1]
+        done = same
         for end, rank in self.tokens.iter(word.decode("latin-1")):
             if end < done:
                 continue
@@ -117,6 +124,7 @@ class Merges:
             last.append(rank)
             count.append(count[start] + 1)
             done += 1
+        self.before = word, last, count
         return count
 
 
@@ -186,7 +194,7 @@ class PrefixCounter:
         """Counts of all prefixes of these texts, which hold no added token."""
         cut = [RUNS.findall(t) for t in texts]
         fresh = set().union(*cut).difference(self.runs)
-        for run in fresh:
+        for run in sorted(fresh):
             self.runs[run] = np.array(self._run(run), np.int32).tobytes()
             self.held += 5 * len(run) + 160
         runs = [run for own in cut for run in own]
@@ -228,6 +236,12 @@ class PrefixCounter:
         return np.concatenate([*parts, self.flat(texts[done:])]), starts
 
 
+@lru_cache(maxsize=1)
+def load_counter(path: str) -> PrefixCounter:
+    """One per worker: what a task has learnt, the next one knows."""
+    return PrefixCounter(path)
+
+
 def prefix_counts(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, counts) of every row: whole texts, every prefix.
 
@@ -242,7 +256,7 @@ def prefix_counts(df: DataFrame, path: str, key: str = "doc_id", text: str = "te
     spread = df.select(df[key].alias("key"), utf8(df[text]).alias("text"))
 
     def make():
-        counter = PrefixCounter(path)
+        counter = load_counter(path)
         gc.disable()  # many short-lived lists, no cycles
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
