@@ -3,8 +3,9 @@
 Both tokenizers end a token wherever a text goes over to white space that
 neither joins to what stands before it, so a text falls into runs, and each
 distinct run is encoded and aligned once. Inside a run the shared cuts are
-found by dividing: a common end near the middle parts both rows of tokens, and
-each half goes on by itself; where no cut is left, the tokens are one group.
+found by dividing: a common end near the middle, found by bisection, parts both
+rows of tokens, and each half goes on by itself; where no cut is left, the
+tokens are one group. All new runs of a slice are divided at the same time.
 
 Links (pairs of tokens that overlap) are counted over the corpus by documents.
 A slice of documents hands over its distinct pairs with their counts; the
@@ -19,9 +20,8 @@ import hashlib
 import json
 import os
 import re
-from bisect import bisect_left
-from collections.abc import Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,53 +33,59 @@ from matchwright.llm.batches import map_slices, utf8
 from matchwright.llm.byte_level import WHITE, letter_bytes, token_bytes
 from matchwright.sources.staging import stage_table
 
-CACHED_BYTES = 96 << 20
+CACHED_BYTES = 160 << 20
 _WHITE = re.compile(f"[{WHITE}]")
 
 
-def shared_groups(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """(tokens of a, tokens of b) up to each shared end, in order.
+def shared_cuts(
+    a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens of a, and which of b, end where one of the other does.
 
-    ``a`` and ``b`` are rising byte ends of tokens over the same bytes, so the
-    last is shared. Intervals wait on a stack, the left half on top.
+    ``a`` and ``b`` are rising byte ends; both are cut into the same intervals
+    by ``ends_a`` and ``ends_b`` (one past each interval's last token, whose
+    end is shared). All intervals are divided at the same time: at the shared
+    end nearest the middle, found by bisection of b; the halves are the
+    intervals of the next round, and those without a cut are done.
     """
-    out = []
-    todo = [(0, len(a), 0, len(b))]
-    while todo:
-        a0, a1, b0, b1 = todo.pop()
-        cut = _near_middle(a, b, a0, a1 - 1, b0, b1 - 1)
-        if cut is None:
-            out.append((a1, b1))
-        else:
-            i, j = cut
-            todo.append((i, a1, j, b1))
-            todo.append((a0, i, b0, j))
-    return out
-
-
-def _near_middle(a, b, a0: int, a1: int, b0: int, b1: int) -> tuple[int, int] | None:
-    """Tokens before the shared end nearest the middle of a[a0:a1], if there is one."""
-    if a0 >= a1 or b0 >= b1:
-        return None
-    middle = (a0 + a1) // 2
-    for step in range(max(middle - a0, a1 - 1 - middle) + 1):
-        for i in (middle + step, middle - step) if step else (middle,):
-            if a0 <= i < a1:
-                j = bisect_left(b, a[i], b0, b1)
-                if j < b1 and b[j] == a[i]:
-                    return i + 1, j + 1
-    return None
-
-
-def overlaps(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """(i, j) of all tokens whose byte ranges overlap, by their ends."""
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        out.append((i, j))
-        step_a, step_b = a[i] <= b[j], b[j] <= a[i]
-        i += step_a
-        j += step_b
-    return out
+    cut_a, cut_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    cut_a[ends_a - 1] = cut_b[ends_b - 1] = True
+    now = np.stack(
+        [np.r_[0, ends_a[:-1]], ends_a - 1, np.r_[0, ends_b[:-1]], ends_b - 1]
+    ).astype(np.int64)
+    while now.shape[1]:
+        now = now[:, (now[0] < now[1]) & (now[2] < now[3])]
+        a0, a1, b0, b1 = now
+        middle = (a0 + a1) // 2
+        found_a, found_b = np.full(len(a0), -1), np.full(len(a0), -1)
+        open_, step = np.arange(len(a0)), 0
+        while len(open_):
+            for at in (middle[open_] + step, middle[open_] - step):
+                inside = (a0[open_] <= at) & (at < a1[open_])
+                here, i = open_[inside], at[inside]
+                j = np.searchsorted(b, a[i])
+                hit = (b0[here] <= j) & (j < b1[here]) & (b[np.minimum(j, len(b) - 1)] == a[i])
+                found_a[here[hit]], found_b[here[hit]] = i[hit], j[hit]
+            step += 1
+            left = (found_a[open_] < 0) & (
+                (middle[open_] + step < a1[open_]) | (middle[open_] - step >= a0[open_])
+            )
+            open_ = open_[left]
+        cut = found_a >= 0
+        i, j = found_a[cut], found_b[cut]
+        cut_a[i] = cut_b[j] = True
+        a0, a1, b0, b1 = now[:, cut]
+        now = np.concatenate(
+            [np.stack([a0, i, b0, j]), np.stack([i + 1, a1, j + 1, b1])], axis=1
+        )
+    return cut_a, cut_b
+
+
+def overlaps(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of all tokens whose byte ranges overlap, by their ends: between
+    two neighbouring ends of either, just one token of each goes on."""
+    ends = np.union1d(a, b)
+    return np.searchsorted(a, ends), np.searchsorted(b, ends)
 
 
 @lru_cache(maxsize=2)
@@ -101,9 +107,9 @@ def piece_bytes(piece: str) -> bytes:
 class Aligner:
     """Runs of text, encoded by both tokenizers and aligned; remembered.
 
-    ``spots`` numbers the runs met; by that number go their counts of tokens,
-    groups and links, whether their bytes come out right, the groups as text
-    and the links as a << 32 | b.
+    ``spots`` numbers the runs met; by that number go their counts (tokens of
+    both, groups, links, and whether their bytes come out right), the groups
+    as text, and where their links (a << 32 | b) begin among all.
     """
 
     def __init__(self, path_a: str, path_b: str):
@@ -116,18 +122,20 @@ class Aligner:
         self.b = SentencePieceProcessor(model_file=path_b)
         self.a_bytes = _byte_tokens(path_a)
         pieces = self.b.id_to_piece(list(range(self.b.get_piece_size())))
-        self.b_bytes = list(map(piece_bytes, pieces))
+        self.b_bytes = dict(enumerate(map(piece_bytes, pieces)))
         self.blank = pieces.index("▁")
         self.runs = _cutter(pieces).findall
-        self.a_size = {i: len(t) for i, t in self.a_bytes.items()}
-        self.b_size = list(map(len, self.b_bytes))
+        # by 2 * id, and 2 * id + 1 for the last one of a group
+        self.a_text = [f"{i}{end}" for i in range(max(self.a_bytes) + 1) for end in ",|"]
+        self.b_text = [f"{i}{end}" for i in range(len(pieces)) for end in ",;"]
         self._forget()
 
     def _forget(self) -> None:
         self.spots: dict[str, int] = {}
-        self.counts: list[tuple[int, int, int, int, bool]] = []
         self.groups: list[str] = []
-        self.links: list[list[int]] = []
+        self.counts = np.zeros((0, 5), np.int64)
+        self.first = np.zeros(0, np.int64)
+        self.links = np.zeros(0, np.int64)
         self.held = 0
 
     def _encode_b(self, runs: list[str]) -> list[list[int]]:
@@ -145,33 +153,38 @@ class Aligner:
         return out
 
     def learn(self, runs: list[str]) -> None:
+        """Encode and align these runs, all at the same time."""
+        raw = [run.encode() for run in runs]
         of_a = [e.ids for e in self.a.encode_batch_fast(runs, add_special_tokens=False)]
-        a_bytes, b_bytes, a_size, b_size = self.a_bytes, self.b_bytes, self.a_size, self.b_size
-        for run, a, b in zip(runs, of_a, self._encode_b(runs)):
-            raw = run.encode()
-            right = (
-                b"".join([b_bytes[i] for i in b]) == raw and b"".join([a_bytes[i] for i in a]) == raw
-            )
-            self.spots[run] = len(self.groups)
-            if not right:
-                self._note(0, 0, 0, False, "", [])
-            elif len(a) == 1 or len(b) == 1:
-                text = ",".join(map(str, a)) + "|" + ",".join(map(str, b))
-                self._note(len(a), len(b), 1, True, text, [i << 32 | j for i in a for j in b])
-            else:
-                ends_a, ends_b = _ends(a, a_size), _ends(b, b_size)
-                parts, i0, j0 = [], 0, 0
-                for i, j in shared_groups(ends_a, ends_b):
-                    parts.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-                    i0, j0 = i, j
-                links = [a[i] << 32 | b[j] for i, j in overlaps(ends_a, ends_b)]
-                self._note(len(a), len(b), len(parts), True, ";".join(parts), links)
-            self.held += 16 * len(run) + 400
-
-    def _note(self, n_a, n_b, n_groups, right, text, links) -> None:
-        self.counts.append((n_a, n_b, n_groups, len(links), right))
-        self.groups.append(text)
-        self.links.append(links)
+        of_b = self._encode_b(runs)
+        right = _given_back(of_a, raw, self.a_bytes) & _given_back(of_b, raw, self.b_bytes)
+        for k in np.flatnonzero(~right).tolist():
+            of_a[k], of_b[k] = [], []
+        n_a, a, a_end, last_a = _flat_tokens(of_a, self.a_bytes)
+        n_b, b, b_end, last_b = _flat_tokens(of_b, self.b_bytes)
+        some = n_a > 0  # the others have no bytes either
+        cut_a, cut_b = shared_cuts(a_end, b_end, last_a[some], last_b[some])
+        i, j = overlaps(a_end, b_end)
+        # groups of all runs, numbered: a's tokens of each, then b's
+        order = np.argsort(
+            np.concatenate([2 * (np.cumsum(cut_a) - cut_a), 2 * (np.cumsum(cut_b) - cut_b) + 1]),
+            kind="stable",
+        )
+        names = [*map(self.a_text.__getitem__, (2 * a + cut_a).tolist())]
+        names += map(self.b_text.__getitem__, (2 * b + cut_b).tolist())
+        texts = list(map(names.__getitem__, order.tolist()))
+        ends = np.cumsum(n_a + n_b).tolist()
+        own = ["".join(texts[s:e])[:-1] for s, e in zip([0, *ends], ends)]
+        run_of = np.repeat(np.arange(len(runs)), n_a)
+        n_groups = np.bincount(run_of[cut_a], minlength=len(runs))
+        n_links = np.bincount(run_of[i], minlength=len(runs))
+        fresh = np.stack([n_a, n_b, n_groups, n_links, right], axis=1).astype(np.int64)
+        self.spots.update(zip(runs, range(len(self.groups), len(self.groups) + len(runs))))
+        self.groups += own
+        self.first = np.concatenate([self.first, len(self.links) + np.cumsum(n_links) - n_links])
+        self.links = np.concatenate([self.links, a[i] << 32 | b[j]])
+        self.counts = np.concatenate([self.counts, fresh])
+        self.held += 12 * sum(map(len, raw)) + 250 * len(runs)
 
     def align(self, texts: list[str]) -> tuple[list[list[int]], np.ndarray]:
         """The runs' numbers of each text, and its sums of counts.
@@ -187,10 +200,9 @@ class Aligner:
             self.learn(list(fresh))
         get = self.spots.__getitem__
         numbers = [list(map(get, runs)) for runs in cut]
-        counts = np.array(self.counts, np.int64).reshape(-1, 5)
         totals = np.zeros((len(texts), 5), np.int64)
         for k, own in enumerate(numbers):
-            found = counts[own].sum(axis=0) if own else totals[k]
+            found = self.counts[own].sum(axis=0) if own else totals[k]
             if own and found[4] == len(own):
                 totals[k] = found
                 totals[k, 4] = 1
@@ -199,12 +211,27 @@ class Aligner:
         return numbers, totals
 
 
-def _ends(ids: list[int], size) -> list[int]:
-    out, end = [], 0
-    for i in ids:
-        end += size[i]
-        out.append(end)
-    return out
+@lru_cache(maxsize=1)
+def load_aligner(path_a: str, path_b: str) -> Aligner:
+    """One per worker: what a task has learnt, the next one knows."""
+    return Aligner(path_a, path_b)
+
+
+def _given_back(ids: list[list[int]], raw: list[bytes], tokens: dict[int, bytes]) -> np.ndarray:
+    """Whether each run's tokens join to its bytes."""
+    get = tokens.__getitem__
+    return np.fromiter(
+        (b"".join(map(get, own)) == text for own, text in zip(ids, raw)), bool, len(raw)
+    )
+
+
+def _flat_tokens(ids: list[list[int]], tokens: dict[int, bytes]):
+    """Tokens of each run; all tokens, their byte ends, and one past each run's last."""
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, n.sum())
+    size = np.zeros(max(tokens) + 1, np.int64)
+    size[list(tokens)] = list(map(len, tokens.values()))
+    return n, flat, np.cumsum(size[flat]), np.cumsum(n)
 
 
 def _cutter(pieces: list[str]) -> re.Pattern:
@@ -218,19 +245,18 @@ def _cutter(pieces: list[str]) -> re.Pattern:
     return re.compile(f"[{WHITE}]*{word}(?:{on}{word})*(?:{on}\\Z)?|[{WHITE}]+")
 
 
-def _link_rows(aligner: Aligner, numbers: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _link_rows(aligner: Aligner, numbers: list[list[int]]) -> tuple[np.ndarray, ...]:
     """The slice's distinct links; and per document and link: which, and how often."""
     sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
-    met = np.fromiter((n for own in numbers for n in own), np.int64, sizes.sum())
+    met = np.fromiter(chain.from_iterable(numbers), np.int64, sizes.sum())
     runs, which = np.unique(met, return_inverse=True)
-    links = [aligner.links[r] for r in runs.tolist()]
-    per_run = np.fromiter(map(len, links), np.int64, len(links))
-    flat = np.fromiter((x for own in links for x in own), np.int64, per_run.sum())
-    pairs, place = np.unique(flat, return_inverse=True)
+    per_run = aligner.counts[runs, 3]
     start = np.cumsum(per_run) - per_run
+    flat = aligner.links[np.arange(per_run.sum()) + np.repeat(aligner.first[runs] - start, per_run)]
+    pairs, place = np.unique(flat, return_inverse=True)
     times = per_run[which]
     shift = np.cumsum(times) - times
-    at = np.arange(times.sum()) - np.repeat(shift - start[which], times)
+    at = np.arange(times.sum()) + np.repeat(start[which] - shift, times)
     doc = np.repeat(np.repeat(np.arange(len(numbers)), sizes), times)
     own, often = np.unique(doc * max(len(pairs), 1) + place[at], return_counts=True)
     return pairs, own // max(len(pairs), 1), own % max(len(pairs), 1), often
@@ -259,7 +285,7 @@ def aligned_slices(spread: DataFrame, path_a: str, path_b: str, with_groups: boo
     )
 
     def make():
-        aligner = Aligner(path_a, path_b)
+        aligner = load_aligner(path_a, path_b)
         gc.disable()  # many short-lived lists, no cycles
         first, done = TaskContext.get().partitionId() << 32, 0
 

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from matchwright.llm import catalog
 from matchwright.llm.batches import table
 from matchwright.llm.byte_level import letter_bytes, token_bytes
-from matchwright.llm.cross_tokens import align_documents, overlaps, piece_bytes, shared_groups
+from matchwright.llm.cross_tokens import align_documents, overlaps, piece_bytes, shared_cuts
 from matchwright.llm.prefix_counts import (
     PrefixCounter,
     load_merges,
@@ -133,14 +133,24 @@ def test_op11_counts_like_the_library(spark):
 
 def test_groups_are_the_shared_ends():
     rng = random.Random(1)
-    for _ in range(500):
+    ends_a, ends_b, parts_a, parts_b, done = [], [], [], [], 0
+    for _ in range(500):  # intervals of one row of bytes
         size = rng.randint(1, 40)
-        a, b = (sorted({*rng.sample(range(1, size + 1), rng.randint(0, size)), size}) for _ in "ab")
-        shared = sorted(set(a) & set(b))
-        assert shared_groups(a, b) == [(a.index(c) + 1, b.index(c) + 1) for c in shared]
-        spans = [list(zip([0, *x], x)) for x in (a, b)]
-        want = [(i, j) for i, p in enumerate(spans[0]) for j, q in enumerate(spans[1]) if p[0] < q[1] and q[0] < p[1]]
-        assert overlaps(a, b) == want
+        for ends, parts in ((ends_a, parts_a), (ends_b, parts_b)):
+            own = sorted({*rng.sample(range(1, size + 1), rng.randint(0, size)), size})
+            ends += [done + e for e in own]
+            parts.append(len(ends))
+        done += size
+    a, b = np.array(ends_a), np.array(ends_b)
+    shared = set(ends_a) & set(ends_b)
+    for parts in ((parts_a, parts_b), ([len(a)], [len(b)])):
+        cut_a, cut_b = shared_cuts(a, b, *map(np.array, parts))
+        assert [x in shared for x in ends_a] == cut_a.tolist()
+        assert [x in shared for x in ends_b] == cut_b.tolist()
+    got = set(zip(*(x.tolist() for x in overlaps(a, b))))
+    spans = [list(zip([0, *x], x)) for x in (ends_a, ends_b)]
+    want = {(i, j) for i, p in enumerate(spans[0]) for j, q in enumerate(spans[1]) if p[0] < q[1] and q[0] < p[1]}
+    assert got == want
 
 
 def brute_alignment(rows):
