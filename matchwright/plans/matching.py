@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from matchwright.fixed_values import MATCH_DISTANCES, REPORT_DISTANCE
 from matchwright.operators.counts import add_group_count, group_sizes
+from matchwright.operators.far_names import LEAST_FAR, Space, space_of
 from matchwright.operators.filters import split_by_null
 from matchwright.operators.joins import lookup, null_safe_join, quoted, within, without
 from matchwright.operators.reshape import stack_rows
@@ -88,6 +89,7 @@ def _hits(
     k: int,
     refine_above: int | None,
     long_names: bool,
+    space: Space | None = None,
 ) -> DataFrame:
     """Stage table (block, left_name, right_name, distance, code) of one distance.
 
@@ -102,6 +104,7 @@ def _hits(
         k,
         refine_above,
         long_names,
+        space,
     )
     name, block = quoted(cols.name), quoted(cols.block)
     coded = (
@@ -246,19 +249,39 @@ def candidate_report(
 ) -> DataFrame:
     """All unmatched names with their only far candidate, null if none or many.
 
+    Names are sought in two rings, within ``LEAST_FAR`` and within ``k``: a name
+    with two candidates in the first has many, and leaves the search.
     Candidates are joined back by ``keys``, by default name and block, as the
     cascade's own residual is.
     """
     keys = list(keys or cols.exact_key)
     unmatched, registry = alike(unmatched, registry, [cols.name, cols.block])
-    far = (
-        fuzzy_stage(unmatched, registry, consumed, cols, k, refine_above)
-        .filter(F.col("n_matches") == 1)
-        .select(
-            *keys,
-            F.col(cols.matched).alias(f"{cols.name}_candidate"),
-            F.col(cols.code).alias(f"{cols.code}_candidate"),
+    long_names = k <= MAX_DELETION_ONLY and has_long_names(registry, cols.name)
+    # a name on several rows has as many hits for each candidate
+    seeking = stage_table(
+        group_sizes(unmatched, cols.exact_key).where("n = 1").drop("n"), "seeking"
+    )
+    pool = registry.select(*cols.registry)
+    if consumed is not None:
+        pool = without(pool, consumed, cols.code)
+    pool, space = stage_table(pool, "pool"), None
+    if k >= LEAST_FAR and refine_above is None:
+        sides = (distinct_names(df, cols.name, cols.block).select("name") for df in (seeking, pool))
+        space = space_of(stack_rows(list(sides), strict=True))
+    to_hit = [(cols.name, "left_name"), (cols.block, "block")]
+    for ring in sorted({min(LEAST_FAR, k), k}):
+        hits = _hits(seeking, pool, None, cols, ring, refine_above, long_names, space)
+        found = hits.groupBy("block", "left_name").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("right_name").alias(f"{cols.name}_candidate"),
+            F.min("code").alias(f"{cols.code}_candidate"),
         )
+        if ring < k:
+            seeking = stage_table(without(seeking, found.where("n > 1"), to_hit), "seeking")
+    far = (
+        found.where("n = 1")
+        .withColumnsRenamed({"left_name": cols.name, "block": cols.block})
+        .select(*keys, f"{cols.name}_candidate", f"{cols.code}_candidate")
     )
     return null_safe_join(unmatched.select(*cols.exact_key), far, keys, "left")
 

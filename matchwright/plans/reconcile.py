@@ -1,8 +1,8 @@
 """Fold any number of coded sources into one table, and report the differences.
 
 Which sources hold a key, and how often, is one census: the tagged keys of all
-sources, grouped with map-side combine. Agreed and gap rows are then the rows
-of the sources met with that census, instead of chains of inner and full
+sources, grouped with map-side combine. Agreed and gap rows, and the full fold,
+are then the rows of the sources met with that census, instead of chains of full
 joins; a key repeated within sources comes out as often as the joins would
 make it.
 """
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from matchwright.operators.counts import several_values
 from matchwright.operators.filters import apply_exclusions, drop_all_null
-from matchwright.operators.joins import lookup, null_safe_join, without
+from matchwright.operators.joins import lookup, null_safe_join, quoted, without
 from matchwright.operators.reshape import pivot_longer_multi, stack_rows
+from matchwright.sources.staging import stage_table
 
 Sources = Mapping[str, DataFrame]
 
@@ -34,10 +35,53 @@ def multi_source_inner(sources: Sources, key: str, columns: Sequence[str]) -> Da
     return reduce(lambda a, b: null_safe_join(a, b, key, "inner"), frames)
 
 
-def multi_source_full(sources: Sources, key: str, columns: Sequence[str]) -> DataFrame:
-    """Keys of any source, each column suffixed with its source's name."""
-    frames = [_tagged(df, key, columns, tag) for tag, df in sources.items()]
-    return reduce(lambda a, b: null_safe_join(a, b, key, "full"), frames)
+# Rows of one key in one source above which its rows are dealt out. A table of
+# the keys above it has at most its rows / SPLIT_ABOVE rows.
+SPLIT_ABOVE = 1 << 20
+
+
+def multi_source_full(
+    sources: Sources, key: str, columns: Sequence[str], split_above: int = SPLIT_ABOVE
+) -> DataFrame:
+    """Keys of any source, each column suffixed with its source's name.
+
+    The census of all sources says which keys a source lacks: these join it as
+    rows of nulls, and then every source has every key, null included, and the
+    fold is inner joins on one key. A key with more than ``split_above`` rows
+    in a source is dealt out by salts: its largest source's rows get one each,
+    the others' rows all of them, so every combination comes about once.
+    """
+    tags = list(sources)
+    census = stage_table(key_census(sources, key), "census")
+    counts = [f"n_{t}" for t in tags]
+    most = F.greatest(*counts) if len(counts) > 1 else F.col(counts[0])
+    hot = census.where(most > split_above).select(
+        key,
+        F.ceil(most / split_above).alias("__salts"),
+        F.array_position(F.array(*counts), most).alias("__largest"),
+    )
+    folded = []
+    for i, (tag, df) in enumerate(sources.items()):
+        own = _tagged(df, key, columns, tag)
+        padded = own.unionByName(
+            census.where(f"{quoted(f'n_{tag}')} = 0").select(key), allowMissingColumns=True
+        )
+        folded.append(_dealt_out(padded, hot, key, i + 1))
+    joined = reduce(lambda a, b: null_safe_join(a, b, [key, "__salt"], "inner"), folded)
+    return joined.drop("__salt")
+
+
+def _dealt_out(rows: DataFrame, hot: DataFrame, key: str, place: int) -> DataFrame:
+    """Rows with ``__salt``: 0, or of a hot key one salt in its largest source and all in others."""
+    numbered = rows.withColumn("__row", F.xxhash64(F.monotonically_increasing_id()))
+    met = null_safe_join(numbered, hot, key, "left")
+    every = F.sequence(F.lit(0).cast("bigint"), F.col("__salts") - 1)
+    salt = (
+        F.when(F.col("__salts").isNull(), F.array(F.lit(0).cast("bigint")))
+        .when(F.col("__largest") == place, F.array(F.pmod("__row", "__salts")))
+        .otherwise(every)
+    )
+    return met.select(key, F.explode(salt).alias("__salt"), *[c for c in rows.columns if c != key])
 
 
 def key_census(sources: Sources, key: str) -> DataFrame:
@@ -120,13 +164,13 @@ def value_conflicts(
 
 
 def gap_rows_wide(
-    sources: Sources, key: str, columns: Sequence[str]
+    sources: Sources, key: str, columns: Sequence[str], split_above: int = SPLIT_ABOVE
 ) -> DataFrame:
-    """Full join of the sources without the keys that all of them hold."""
+    """Full fold of the sources without the keys that all of them hold."""
     agreed = key_census(sources, key).filter("in_all").select(key)
-    # taken out of every source first, so the agreed bulk never meets the full joins
+    # taken out of every source first, so the agreed bulk never meets the fold
     partial = {tag: null_safe_join(df, agreed, key, "left_anti") for tag, df in sources.items()}
-    return multi_source_full(partial, key, columns)
+    return multi_source_full(partial, key, columns, split_above)
 
 
 def gap_rows_long(

@@ -197,7 +197,7 @@ def oracle_sql() -> dict[str, str]:
         "fuzzy_join_k1": _fuzzy(1),
         "fuzzy_join_k2": _fuzzy(2),
         "fuzzy_join_mixed_block": _fuzzy(1),
-        "fuzzy_join_k5": _fuzzy(5, "un0", "pool0"),
+        "fuzzy_join_k5": _fuzzy(5),
         "osa_distance_pairs": f"""SELECT c_custkey, CAST({_osa('a', 'b')} AS INTEGER) AS distance
             FROM (SELECT c_custkey, {inputs.DAMAGED_NAME} AS a, c_name AS b FROM customer)""",
         "add_group_count": """SELECT l_orderkey, l_suppkey, l_returnflag,

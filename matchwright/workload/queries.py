@@ -264,14 +264,6 @@ def fuzzy_join_mixed_block(spark: SparkSession, sf: str) -> DataFrame:
     return fuzzy_join(source.withColumn("block", F.col("block").cast("int")), pool, 1)
 
 
-def fuzzy_join_k5(spark: SparkSession, sf: str) -> DataFrame:
-    """Names without an exact match against the registry rows no source row took."""
-    source, official = inputs.name_source(spark, sf), inputs.registry(spark, sf)
-    matched, unmatched = split_by_null(matching.exact_match(source, official, LINK), LINK.code)
-    pool = without(official, matched, LINK.code).drop("segment")
-    return fuzzy_join(unmatched.select(*LINK.source), pool, 5)
-
-
 def osa_distance_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         "c_custkey",
@@ -529,7 +521,7 @@ def queries() -> dict[str, Query]:
         "multi_source_full": multi_source_full,
         "fuzzy_join_k1": _fuzzy(1),
         "fuzzy_join_k2": _fuzzy(2),
-        "fuzzy_join_k5": fuzzy_join_k5,
+        "fuzzy_join_k5": _fuzzy(5),
         "fuzzy_join_mixed_block": fuzzy_join_mixed_block,
         "osa_distance_pairs": osa_distance_pairs,
         "add_group_count": group_count,

@@ -1,3 +1,4 @@
+import random
 import warnings
 
 import pytest
@@ -139,3 +140,20 @@ def test_cascade_totals_on_damaged_customers(spark):
     assert hit.count() + cascade.unmatched.count() == 1350
     assert cascade.stages[1].join(cascade.stages[2], "code").count() == 0
     assert cascade.exact.join(cascade.stages[1], "code").count() == 0
+
+
+def test_report_in_rings_equals_the_whole_search(spark, rows):
+    rnd = random.Random(11)
+    pool = sorted({"".join(rnd.choices("abcd", k=rnd.randint(4, 12))) for _ in range(60)})
+    names = sorted({"".join(rnd.choices("abcd", k=rnd.randint(4, 14))) for _ in range(60)})
+    names += [p + "wxyz" for p in pool[:10]] + [names[0], None]
+    src = spark.createDataFrame([(n, i % 2, i) for i, n in enumerate(names)], "name string, block int, value int")
+    src = src.union(spark.createDataFrame([("alone", None, 1)], src.schema))
+    registry = spark.createDataFrame([(i, n, i % 2) for i, n in enumerate(pool)], "code int, name string, block int")
+    cols = matching.LinkColumns(name="name", block="block", code="code", values=("value",))
+    whole = matching.fuzzy_stage(src, registry, None, cols, 5).filter("n_matches = 1")
+    want = {(r["name"], r["block"]): r["code"] for r in whole.collect()}
+    got = matching.candidate_report(src, registry, None, cols, 5).collect()
+    assert len(got) == src.count() and want
+    for r in got:
+        assert r.code_candidate == want.get((r["name"], r["block"]))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from matchwright.operators.counts import multisets_equal
 from matchwright.plans import quality, reconcile
@@ -105,3 +106,62 @@ def test_repeated_keys_are_spread_in_blocks(spark):
     one = spark.sql("SELECT 1 AS code, 5 AS value")
     many = spark.range(400).selectExpr("1 AS code", "5 AS value")
     assert reconcile.agreed_rows({"a": one, "b": many, "c": many}, "code", "value", "a").count() == 160_000
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_full_fold_of_hot_and_null_keys_is_dealt_out(spark):
+    schema = "code int, value int"
+    a = spark.createDataFrame([(1, i) for i in range(90)] + [(i, i) for i in range(2, 12)], schema)
+    b = spark.createDataFrame([(1, 7), (1, 7), (3, 1), (50, 1)] + [(None, i) for i in range(40)], schema)
+    c = spark.createDataFrame([(1, 8), (None, 1), (None, 1), (60, 2)], schema)
+    fold = reconcile.multi_source_full({"a": a, "b": b, "c": c}, "code", ["value"], split_above=10)
+    plain = (
+        a.withColumnRenamed("value", "value_a").alias("a")
+        .join(b.withColumnRenamed("value", "value_b").alias("b"), a.code.eqNullSafe(b.code), "full")
+        .selectExpr("coalesce(a.code, b.code) AS code", "value_a", "value_b")
+    )
+    plain = plain.join(
+        c.selectExpr("code AS code_c", "value AS value_c"), plain.code.eqNullSafe(F.col("code_c")), "full"
+    ).selectExpr("coalesce(code, code_c) AS code", "value_a", "value_b", "value_c")
+    assert fold.columns == ["code", "value_a", "value_b", "value_c"]
+    assert multisets_equal(fold, plain)
+    assert "FullOuter" not in _plan(fold)
+    # the hot key's rows are many keys to the join
+    dealt = reconcile._dealt_out(
+        a.withColumnRenamed("value", "value_a"),
+        spark.sql("SELECT 1 AS code, 9L AS __salts, 1 AS __largest"), "code", 1,
+    )
+    sizes = [r["count"] for r in dealt.where("code = 1").groupBy("__salt").count().collect()]
+    assert sum(sizes) == 90 and len(sizes) >= 5 and max(sizes) <= 30
+
+
+def test_full_fold_of_one_source_and_of_empty_ones(spark):
+    one = spark.createDataFrame([(1, 2), (None, 3)], "code int, value int")
+    fold = reconcile.multi_source_full({"a": one}, "code", ["value"])
+    assert multisets_equal(fold, one.selectExpr("code", "value AS value_a"))
+    fold = reconcile.multi_source_full({"a": one.limit(0), "b": one}, "code", ["value"])
+    assert multisets_equal(fold, one.selectExpr("code", "CAST(NULL AS INT) AS value_a", "value AS value_b"))
+
+
+def test_quality_checks_scan_once(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.sql("SELECT id % 7 AS code, id % 3 AS value, CAST(id % 5 AS STRING) AS name, 'x' AS n FROM range(50)").write.parquet(path)
+    df = spark.read.parquet(path)
+    report = quality.quality_checks(df, "code", "value", [["code"], ["name", "n"], ["code", "value", "name"]])
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {r["check"]: (r["n_bad"], r["sample"]) for r in report.collect()}
+    assert got["zero_value"] == (17, "0") and got["duplicate_code"] == (50, "0")
+    assert got["duplicate_name_n"] == (50, "0|x") and got["duplicate_code_value_name"] == (0, None)
+
+
+def test_coverage_of_other_names_types_and_nulls(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (2, 5, "b")], "code bigint, value int, name string")
+    asked = spark.createDataFrame([(1,), (3,), (3,), (None,)], "id int")
+    report = quality.quality_checks(df, "code", "value", [["name"]], asked, [("id", "code")])
+    got = {r["check"]: (r["n_bad"], r["sample"]) for r in report.collect()}
+    assert got["not_covered"] == (3, "3") and got["null_key"] == (0, None) and got["duplicate_name"] == (0, None)
+    empty = quality.quality_checks(df.limit(0), "code", "value", [["name"]], asked, [("id", "code")])
+    assert {r["check"]: r["n_bad"] for r in empty.collect()}["not_covered"] == 4
