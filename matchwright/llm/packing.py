@@ -30,7 +30,7 @@ from matchwright.sources.staging import stage_table
 LENGTH = 2048
 HASHED = 1024
 DIMS, BITS = 4, 12
-CACHED = 400_000
+CACHED_BYTES = 96 << 20
 SEED = 7
 
 
@@ -89,8 +89,10 @@ def curve_keys(rows: list[np.ndarray]) -> np.ndarray:
 class WordTokenizer:
     """Ids of texts under a tokenizer that drops white space: word by word.
 
-    Such a tokenizer never joins what white space parts, so each distinct word
-    is encoded once per task; the table of words is bounded.
+    Such a tokenizer never joins what white space parts, and no string of an
+    added token holds any, so each distinct word is encoded once, as the plain
+    call does it. The table of words is kept for the worker's next tasks; its
+    bytes are bounded.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -98,46 +100,58 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.end = np.uint32(end_id).tobytes()
+        self.narrow = max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
+        self.type = np.dtype("<u2" if self.narrow else "<u4")
+        self.end = self.type.type(end_id).tobytes()
         self.words: dict[bytes, bytes] = {}
+        self.held = 0
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, the end id last."""
+        """Little-endian ids of each text, the end id last."""
         cut = [text.split() for text in texts]
         fresh = list(set().union(*cut).difference(self.words))
         found = self.tokenizer.encode_batch_fast(
             [w.decode() for w in fresh], add_special_tokens=False
         )
-        for word, coded in zip(fresh, found):
-            self.words[word] = np.array(coded.ids, "<u4").tobytes()
+        ids = [coded.ids for coded in found]
+        flat = np.fromiter(chain.from_iterable(ids), self.type).tobytes()
+        ends = (np.cumsum(list(map(len, ids))) * self.type.itemsize).tolist()
+        self.words.update(
+            (w, flat[a:b]) for w, a, b in zip(fresh, [0, *ends], ends)
+        )
         get = self.words.__getitem__
         out = [b"".join(map(get, words)) + self.end for words in cut]
-        if len(self.words) > CACHED:  # what came first is commonest and stays
+        own = sum(map(len, fresh)) + len(flat) + 170 * len(fresh)
+        if self.held + own > CACHED_BYTES:  # what came first is commonest and stays
             for word in fresh:
                 del self.words[word]
+        else:
+            self.held += own
         return out
 
 
+@lru_cache(maxsize=1)
+def load_words(path: str, end_id: int) -> WordTokenizer:
+    """One per worker."""
+    return WordTokenizer(path, end_id)
+
+
 def token_rows(df: DataFrame, path: str, end_id: int, key: str, text: str) -> DataFrame:
-    """(key, curve, ids): whole texts as ids, with the place on the curve."""
+    """(key, curve, narrow, ids): whole texts as ids, with the place on the curve."""
     spread = df.select(F.col(key).alias("key"), utf8(text).alias("text"))
 
     def make():
-        tokenizer = WordTokenizer(path, end_id)
+        tokenizer = load_words(path, end_id)
         gc.disable()  # many short-lived lists, no cycles
-        narrow = tokenizer.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            coded = tokenizer.encode(batch.column("text").to_pylist())
-            rows = [np.frombuffer(c, "<u4") for c in coded]
-            ids = [r.astype("<u2").tobytes() for r in rows] if narrow else coded
-            curve = curve_keys([r.astype(np.int64) for r in rows])
+            ids = tokenizer.encode(batch.column("text").to_pylist())
+            curve = curve_keys([np.frombuffer(i, tokenizer.type).astype(np.int64) for i in ids])
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
                     pa.array(curve, pa.int64()),
-                    pa.array([narrow] * len(rows), pa.bool_()),
+                    pa.array([tokenizer.narrow] * len(ids), pa.bool_()),
                     pa.array(ids, pa.binary()),
                 ],
                 ["key", "curve", "narrow", "ids"],

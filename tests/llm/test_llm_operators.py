@@ -264,7 +264,6 @@ def test_pieces_fill_sequences():
 def test_packed_documents(awkward):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = pack_documents(awkward, path).collect()
     lengths = defaultdict(list)
     for r in rows:
@@ -287,6 +286,21 @@ def test_packed_documents(awkward):
     assert pack_documents(awkward.limit(0), path).count() == 0
 
 
+def test_packed_ids_are_the_plain_calls(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    bits = ["a", "<|endoftext|>", "<|startoftext|>", "<|endof", "Ünï", "\u3000", " ", "\n", "!!", "日本"]
+    rng = random.Random(9)
+    texts = ["a <|endoftext|> b", *("".join(rng.choices(bits, k=rng.randint(1, 9))) for _ in range(200))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = defaultdict(list)
+    for r in pack_documents(df, path).collect():
+        got[r.doc_id].append((r.start, bytes(r.ids)))
+    for i, text in enumerate(texts):
+        want = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [1], "<u4").tobytes()
+        assert b"".join(b for _, b in sorted(got[i])) == want, text
+
+
 def test_byte_bpe_equals_the_library(spark, awkward):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     with open(path, "rb") as lines:
@@ -340,11 +354,11 @@ def test_calls_never_contradict():
 # --- copies ---------------------------------------------------------------------------------
 
 
-def brute_components(rows):
+def brute_components(rows, n=4, percent=85):
     sets = {}
     for i, text in rows:
         ws = [w for w in (text or "").encode().lower().split()]
-        sets[i] = {tuple(ws[k : k + 4]) for k in range(len(ws) - 3)} if len(ws) > 3 else ({tuple(ws)} if ws else set())
+        sets[i] = {tuple(ws[k : k + n]) for k in range(len(ws) - n + 1)} if len(ws) >= n else ({tuple(ws)} if ws else set())
     root = {i: i for i in sets}
 
     def find(i):
@@ -355,7 +369,7 @@ def brute_components(rows):
     for a in sets:
         for b in sets:
             both = len(sets[a] & sets[b])
-            if a < b and both and 100 * both >= 85 * len(sets[a] | sets[b]):
+            if a < b and both and 100 * both >= percent * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), find(i)) for i in sets}

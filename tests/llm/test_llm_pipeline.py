@@ -32,7 +32,7 @@ def test_stages_keep_columns_and_good_documents(spark, stages):
 
 def test_duplicates_and_passages(stages):
     rows = [(r.doc_id, r.text) for r in stages[1].collect()]
-    want = {i for i, (_, root) in brute_components(rows).items() if i == root}
+    want = {i for i, (_, root) in brute_components(rows, 5, 80).items() if i == root}
     kept = [(r.doc_id, r.text) for r in stages[2].collect()]
     assert {i for i, _ in kept} == want
     texts, removal = dict(kept), brute_removal(kept)
