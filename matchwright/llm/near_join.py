@@ -386,6 +386,15 @@ class NearJoin:
         ).distinct()
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components; a node without a row is its own root."""
+    for side in ("a", "b"):
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+        pairs = pairs.join(own.hint("merge"), side, "left")
+    apart = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
+    return pairs.where(apart).select("a", "b")
+
+
 def near_components(
     docs: DataFrame,
     words: int = SHINGLE,
@@ -404,7 +413,11 @@ def near_components(
     star = members.where("center <> class").select(
         F.col("center").alias("a"), F.col("class").alias("b")
     )
-    links = join.links(star.distinct())
+    # a class meets one of its centers first; then those that this leaves apart
+    links = join.links(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    roots = smallest_reachable(links)
+    rest = join.links(_apart(star, roots).distinct())
+    links = links.unionByName(rest)
     roots = smallest_reachable(links)
     more = join.links(join.across(members, roots))
     roots = smallest_reachable(links.unionByName(more)).withColumnRenamed("node", "class")
