@@ -240,9 +240,14 @@ class Removal:
         self.copies = stage_table(later.select("key", "h").distinct(), "copies")
         dealt = anchor_rows(base).repartition("anchor").sortWithinPartitions("anchor", "key")
         shared = stage_table(dealt.mapInArrow(_shared, "anchor long, key long"), "anchors")
+        # what is a copy is told with the anchors, so that texts are dealt out once;
+        # a key has as many of these marks as it has different texts
+        gone = self.copies.groupBy("key").agg(F.collect_set("h").alias("gone"))
         lists = shared.groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
-        texts = base.join(lists.hint("merge"), "key").select("key", "h", "text", "anchors")
-        texts = texts.join(self.copies.hint("merge"), ["key", "h"], "left_anti")
+        lists = lists.join(gone.hint("merge"), "key", "left")
+        texts = base.join(lists.hint("merge"), "key")
+        texts = texts.where("gone IS NULL OR NOT array_contains(gone, h)")
+        texts = texts.select("key", "h", "text", "anchors")
         fragments = fragment_rows(texts).repartition("anchor").sortWithinPartitions("anchor", "key")
         found = fragments.mapInArrow(_locate, "key long, h long, start long, stop long")
         self.spans = stage_table(found.distinct(), "spans")
