@@ -86,6 +86,15 @@ def curve_keys(rows: list[np.ndarray]) -> np.ndarray:
     return hilbert_keys(np.minimum((share * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
 
 
+def _plain_parts(word: bytes) -> tuple[bytes, ...]:
+    """ASCII letters without case, and the one mark after them."""
+    if word.isalpha():
+        return (word.lower(),)
+    if word[-1:] in b",.;:!?" and word[:-1].isalpha():
+        return word[:-1].lower(), word[-1:]
+    return (word,)
+
+
 class WordTokenizer:
     """Ids of texts under a tokenizer that drops white space: word by word.
 
@@ -105,23 +114,36 @@ class WordTokenizer:
         self.end = self.type.type(end_id).tobytes()
         self.words: dict[bytes, bytes] = {}
         self.held = 0
+        # whether it works on the plain parts of words, as its marks show
+        probe = ("Ab,", "ab", ",", "aB!", "!", "ab.", ".", "Ab")
+        of = {t: self.tokenizer.encode(t, add_special_tokens=False).ids for t in probe}
+        self.folds = of["Ab"] == of["ab"] and all(
+            of[t] == of["ab"] + of[t[-1]] for t in ("Ab,", "aB!", "ab.")
+        )
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian ids of each text, the end id last."""
         cut = [text.split() for text in texts]
-        fresh = list(set().union(*cut).difference(self.words))
+        fresh = set().union(*cut).difference(self.words)
+        # case is dropped, and a mark after letters is a token's start
+        plain = {w: _plain_parts(w) for w in fresh} if self.folds else {}
+        fresh.update(*plain.values())
+        single = list(fresh.difference(w for w, parts in plain.items() if parts != (w,)))
+        single = [w for w in single if w not in self.words]
         found = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in fresh], add_special_tokens=False
+            [w.decode() for w in single], add_special_tokens=False
         )
         ids = [coded.ids for coded in found]
         flat = np.fromiter(chain.from_iterable(ids), self.type).tobytes()
         ends = (np.cumsum(list(map(len, ids))) * self.type.itemsize).tolist()
-        self.words.update(
-            (w, flat[a:b]) for w, a, b in zip(fresh, [0, *ends], ends)
-        )
+        fresh.difference_update(self.words)
+        self.words.update((w, flat[a:b]) for w, a, b in zip(single, [0, *ends], ends))
         get = self.words.__getitem__
+        for word, parts in plain.items():
+            if parts != (word,):
+                self.words[word] = b"".join(map(get, parts))
         out = [b"".join(map(get, words)) + self.end for words in cut]
-        own = sum(map(len, fresh)) + len(flat) + 170 * len(fresh)
+        own = 3 * sum(map(len, fresh)) + 170 * len(fresh)
         if self.held + own > CACHED_BYTES:  # what came first is commonest and stays
             for word in fresh:
                 del self.words[word]
