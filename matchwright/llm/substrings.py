@@ -12,6 +12,7 @@ settled beforehand: all that a copy has, the first of them has.
 from __future__ import annotations
 
 import gc
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -44,7 +45,7 @@ class Anchors:
         self.known.update((w, xxhash.xxh64_intdigest(w)) for w in fresh)
         sizes = list(map(len, cut))
         get = self.known.__getitem__
-        h = np.fromiter((get(w) for words in cut for w in words), np.uint64, sum(sizes))
+        h = np.fromiter(map(get, chain.from_iterable(cut)), np.uint64, sum(sizes))
         if len(self.known) > CACHED:  # what came first is commonest and stays
             for word in fresh:
                 del self.known[word]
@@ -173,11 +174,14 @@ def _locate(batches):
     """(key, h, start, stop): words of windows that a smaller key holds too.
 
     Fragments come by anchor and key. Shards end at an anchor's end, or, inside
-    an anchor with very many fragments, go on with the windows met so far.
+    an anchor with very many fragments, go on with the windows met so far. A
+    fragment that a smaller key has word for word goes whole, unread.
     """
     rows, size, anchor = [], 0, None
     first: dict[tuple, int] = {}
     number: dict[bytes, int] = {}
+    whole: dict[bytes, tuple[int, int]] = {}
+    known: list[tuple] = []
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "h", "places", "words"))):
             if row[0] != anchor:
@@ -185,15 +189,32 @@ def _locate(batches):
                     yield _occurrences(rows, first, number)
                     rows, size = [], 0
                     first, number = {}, {}
-                anchor = row[0]
+                whole, anchor = {}, row[0]
             elif size >= 2 * SHARD:
                 yield _occurrences(rows, first, number)
                 rows, size = [], 0
-            words = row[4].split(b" ")
-            rows.append((*row[1:4], tuple([number.setdefault(w, len(number)) for w in words])))
+            key, h, places, text = row[1:]
+            holder, n = whole.get(text, (key, 0))
+            if holder < key:
+                known += [(key, h, p, p + n) for p in places]
+                if len(known) > SHARD:
+                    yield _spans(known)
+                    known = []
+                continue
+            words = text.split(b" ")
+            whole[text] = (key, len(words))
+            rows.append((key, h, places, tuple([number.setdefault(w, len(number)) for w in words])))
             size += len(words)
     if rows:
         yield _occurrences(rows, first, number)
+    yield _spans(known)
+
+
+def _spans(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * 4
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.int64()) for c in columns], ["key", "h", "start", "stop"]
+    )
 
 
 def _occurrences(rows: list[tuple], first: dict, number: dict) -> pa.RecordBatch:
@@ -217,10 +238,7 @@ def _occurrences(rows: list[tuple], first: dict, number: dict) -> pa.RecordBatch
                         start = end - WINDOW + 1
                     stop = end + 1
             out += [(key, h, p + start, p + stop) for p in places if stop > 0]
-    columns = list(zip(*out)) or [()] * 4
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.int64()) for c in columns], ["key", "h", "start", "stop"]
-    )
+    return _spans(out)
 
 
 class Removal:
