@@ -17,6 +17,7 @@ difference, from counts of hashed elements, before the sets are compared.
 from __future__ import annotations
 
 import gc
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,7 @@ class Shingler:
         self.known.update((w, xxhash.xxh64_intdigest(w)) for w in fresh)
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         get = self.known.__getitem__
-        h = np.fromiter((get(w) for ws in cut for w in ws), np.uint64, sizes.sum())
+        h = np.fromiter(map(get, chain.from_iterable(cut)), np.uint64, sizes.sum())
         if len(self.known) > CACHED:  # what came first is commonest and stays
             for word in fresh:
                 del self.known[word]
