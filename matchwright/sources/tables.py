@@ -73,6 +73,28 @@ def drop_trailer(df: DataFrame, order_col: str, n: int) -> DataFrame:
     return df.join(tail, F.col(order_col) == F.col("__tail"), "left_anti")
 
 
+def read_without_trailers(
+    spark: SparkSession, path: str | list[str], n: int, schema: StructType | str | None = None
+) -> DataFrame:
+    """Landed Parquet files, each without its last ``n`` rows.
+
+    A row's place is its position in its file, which the scan itself knows, so
+    no ordinal column is needed. The files' ends come from a scan of no column,
+    combined per task. Files of ``n`` rows and fewer give none.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    landed = reader.parquet(*([path] if isinstance(path, str) else path))
+    place = {"__file": F.col("_metadata.file_path"), "__at": F.col("_metadata.row_index")}
+    ends = (
+        landed.select(*(c.alias(name) for name, c in place.items()))
+        .groupBy(F.col("__file").alias("__ended"))
+        .agg(F.max("__at").alias("__last"))
+    )
+    rows = landed.select("*", *(c.alias(name) for name, c in place.items()))
+    met = rows.join(ends, F.col("__file") == F.col("__ended"))
+    return met.where(F.col("__at") <= F.col("__last") - n).select(*landed.columns)
+
+
 def inline_table(
     spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence[str]]
 ) -> DataFrame:

@@ -155,8 +155,13 @@ def oracle_sql() -> dict[str, str]:
             s_acctbal AS value FROM supplier""",
         "drop_trailer_rows": """SELECT * FROM orders WHERE o_orderkey NOT IN
             (SELECT o_orderkey FROM orders ORDER BY o_orderkey DESC LIMIT 2)""",
+        "drop_trailer_by_file": """SELECT o_orderkey, o_custkey, o_orderstatus, month FROM (
+            SELECT *, row_number() OVER (PARTITION BY month ORDER BY o_orderkey DESC) AS place
+            FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders)) WHERE place > 2""",
         "object_literal_flatten": """SELECT event_id, event_type AS block, concat('user ', user_id) AS name,
             CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS value FROM events""",
+        "object_literal_long": """SELECT l_orderkey, l_returnflag AS block, concat('part ', l_partkey) AS name,
+            CAST(l_quantity AS INTEGER) AS value FROM lineitem""",
         "inline_crosswalk": f"""WITH {_INPUTS}, fix(a, b) AS (VALUES {_INLINE})
             SELECT upper(s.name) AS name, s.block, s.value, upper(f.b) AS name_corr
             FROM src s LEFT JOIN fix f ON upper(s.name) = upper(f.a)""",
@@ -214,6 +219,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM (SELECT coalesce(a.key, b.key) AS key, coalesce(a.flag, b.flag) AS flag,
                 CAST(coalesce(a.n, 0) - coalesce(b.n, 0) AS BIGINT) AS surplus
                 FROM a FULL JOIN b ON a.key = b.key AND a.flag = b.flag) WHERE surplus <> 0""",
+        "multiset_difference_ranged": """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(sum(n) AS BIGINT) AS surplus FROM (
+            SELECT o_orderkey, o_custkey, o_orderstatus, 1 AS n FROM orders
+            UNION ALL SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1013 <> 0 THEN o_orderstatus END, -1 FROM orders
+            UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, -1 FROM orders WHERE o_orderkey = 7)
+            GROUP BY ALL HAVING sum(n) <> 0""",
         "union_missing_columns": """SELECT c_name AS name, c_nationkey AS block, c_mktsegment AS segment,
             NULL::BIGINT AS supplier FROM customer
             UNION ALL SELECT s_name, s_nationkey, NULL, s_suppkey FROM supplier""",

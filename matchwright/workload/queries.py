@@ -21,6 +21,7 @@ from matchwright.operators.counts import (
     add_group_count,
     find_duplicates,
     multiset_difference,
+    ranged_difference,
 )
 from matchwright.operators.filters import (
     apply_exclusion_table,
@@ -39,13 +40,14 @@ from matchwright.operators.reshape import (
 from matchwright.operators.similarity import fuzzy_join
 from matchwright.plans import matching, quality, reconcile
 from matchwright.plans.coded import clean_coded_source
-from matchwright.sources.literals import flatten_literals
+from matchwright.sources.literals import flatten_literals, flatten_long_literals
 from matchwright.sources.staging import stage_path, stage_table
 from matchwright.sources.tables import (
     drop_trailer,
     inline_table,
     read_delimited,
     read_landed,
+    read_without_trailers,
     write_delimited,
 )
 from matchwright.workload import inputs
@@ -93,6 +95,16 @@ def drop_trailer_rows(spark: SparkSession, sf: str) -> DataFrame:
     return drop_trailer(table(spark, sf, "orders"), "o_orderkey", 2)
 
 
+def drop_trailer_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    # one file a month, its last two rows taken for notes
+    orders = table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    path = stage_path(spark, "landed")
+    dealt = orders.repartition("month").sortWithinPartitions("month", "o_orderkey")
+    dealt.write.partitionBy("month").parquet(path)
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, month string"
+    return read_without_trailers(spark, path, 2, schema)
+
+
 def object_literal_flatten(spark: SparkSession, sf: str) -> DataFrame:
     # {click: {"user 8": ["69"]}} with a bare outer key, one record per event
     text = F.concat(
@@ -104,6 +116,19 @@ def object_literal_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return flat.withColumn("value", as_integer("value"))
 
 
+def object_literal_long(spark: SparkSession, sf: str) -> DataFrame:
+    # one record an order, its items as leaves; a part met twice repeats its key
+    leaf = F.expr("""concat('"part ', l_partkey, '":["', CAST(l_quantity AS INT), '"]')""")
+    items = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_returnflag")
+    inner = items.agg(F.concat_ws(",", F.collect_list(leaf)).alias("leaves"))
+    entry = F.expr("concat(l_returnflag, ':{', leaves, '}')")
+    records = inner.groupBy("l_orderkey").agg(
+        F.concat(F.lit("{"), F.concat_ws(",", F.collect_list(entry)), F.lit("}")).alias("record")
+    )
+    flat = flatten_long_literals(records, "record", most=64)
+    return flat.withColumn("value", as_integer("value"))
+
+
 def inline_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     corrections = map_columns(
         inline_table(spark, ["name", "name_corr"], INLINE_CORRECTIONS), F.upper
@@ -308,6 +333,15 @@ def multiset_surplus(spark: SparkSession, sf: str) -> DataFrame:
     return multiset_difference(shipped, parts)
 
 
+def multiset_surplus_ranged(spark: SparkSession, sf: str) -> DataFrame:
+    # a few orders of a copy are changed, one is doubled
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    changed = orders.withColumn(
+        "o_orderstatus", F.expr("CASE WHEN o_orderkey % 1013 <> 0 THEN o_orderstatus END")
+    )
+    return ranged_difference(orders, changed.unionByName(orders.where("o_orderkey = 7")))
+
+
 def union_missing_columns(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").select(
         F.col("c_name").alias("name"), F.col("c_nationkey").alias("block"), F.col("c_mktsegment").alias("segment")
@@ -499,7 +533,9 @@ def queries() -> dict[str, Query]:
         "csv_roundtrip": csv_roundtrip,
         "scan_rename_headers": scan_rename_headers,
         "drop_trailer_rows": drop_trailer_rows,
+        "drop_trailer_by_file": drop_trailer_by_file,
         "object_literal_flatten": object_literal_flatten,
+        "object_literal_long": object_literal_long,
         "inline_crosswalk": inline_crosswalk,
         "project_keep_drop": project_keep_drop,
         "select_by_name_pattern": select_by_name_pattern,
@@ -531,6 +567,7 @@ def queries() -> dict[str, Query]:
         "sort_nulls_last": sort_with_nulls_last,
         "smallest_values_topk": smallest_values_topk,
         "multiset_difference": multiset_surplus,
+        "multiset_difference_ranged": multiset_surplus_ranged,
         "union_missing_columns": union_missing_columns,
         "union_strict": union_strict,
         "pivot_longer_multi": pivot_longer,

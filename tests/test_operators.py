@@ -72,6 +72,29 @@ def test_multisets(frame, rows):
     assert counts.multisets_equal(a, a.orderBy("v"))
 
 
+def test_ranged_difference(frame, rows):
+    a = frame([(1, None), (None, 1), (2, 0)], "x int, y int")
+    assert not counts.multisets_equal(a, frame([(1, None), (1, None), (2, 0)], "x int, y int"))
+    assert rows(counts.ranged_difference(a, frame([(1, None), (2, 0), (2, 0)], "x int, y int"))) == [
+        (None, 1, 1), (2, 0, -1),
+    ]
+    # other types, as a union has them, and a negative zero
+    assert counts.multisets_equal(a, frame([(0, 2), (1, None), (None, 1)], "y long, x int"))
+    assert counts.multisets_equal(frame([(0.0,)], "d double"), frame([(-0.0,)], "d double"))
+    nested = frame([([1, None],)], "l array<int>")
+    assert not counts.multisets_equal(nested, frame([([None, 1],)], "l array<int>"))
+    assert counts.multisets_equal(a.limit(0), a.where("false"))
+
+
+def test_ranges_that_differ(spark):
+    many = spark.range(50_000).selectExpr("id", "CAST(id AS STRING) AS s")
+    assert counts.differing_ranges(many, many.orderBy("s")) == []
+    other = many.withColumn("s", F.expr("IF(id = 77, 'x', s)"))
+    assert 1 <= len(counts.differing_ranges(many, other)) <= 2
+    found = counts.ranged_difference(many, other).collect()
+    assert sorted(map(tuple, found)) == [(77, "77", 1), (77, "x", -1)]
+
+
 def test_unions(frame):
     a, b = frame([(1, "x")], "i int, s string"), frame([("y", 2.0)], "s string, d double")
     assert [tuple(r) for r in reshape.stack_rows([a, b]).collect()] == [(1, "x", None), (None, "y", 2.0)]

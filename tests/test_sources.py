@@ -2,12 +2,19 @@ import pytest
 
 from matchwright.session import name_stage_folder
 from matchwright.sources import staging
-from matchwright.sources.literals import flatten_literals, read_object_literals, rejected_literals
+from matchwright.sources.literals import (
+    cut_literals,
+    flatten_literals,
+    flatten_long_literals,
+    read_object_literals,
+    rejected_literals,
+)
 from matchwright.sources.tables import (
     drop_trailer,
     inline_table,
     read_delimited,
     read_landed,
+    read_without_trailers,
     write_delimited,
 )
 
@@ -118,3 +125,50 @@ def test_literals_are_parsed_once(spark):
     df = spark.createDataFrame([('{A:{B:["1"]}}',)], "t string")
     plan = flatten_literals(df, "t")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_trailers_by_position_in_the_file(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    for low, high in ((0, 10), (10, 13), (20, 22), (30, 31)):
+        spark.range(low, high, 1, 1).write.mode("append").parquet(path)
+    spark.range(0).write.mode("append").parquet(path)
+    kept = read_without_trailers(spark, path, 2, "id long")
+    assert sorted(r.id for r in kept.collect()) == [*range(8), 10]
+    assert kept.columns == ["id"]
+    assert read_without_trailers(spark, [path], 0).count() == 16
+
+
+def test_long_literals_are_cut(spark, rows):
+    text = '{A : {"x, }{":["1"], Y:["2"],Y:["3"],"q\\"":["4"]} ,B:{},A:{Y:["5"]}}'
+    df = spark.createDataFrame([(1, text), (2, "{}"), (3, ' {C:{"c, d":["6"]}} ')], "id int, t string")
+    cut = cut_literals(df, "t", 1)
+    assert cut.columns == ["id", "t"]
+    assert sorted(r.t for r in cut.where("id = 1").collect()) == sorted(
+        ['{A : {"x, }{":["1"]}}', '{A : { Y:["2"]}}', '{A : {Y:["3"]}}', '{A : {"q\\"":["4"]}}', "{B:{}}", '{A:{Y:["5"]}}']
+    )
+    want = [
+        (1, "A", "Y", "2"), (1, "A", "Y", "3"), (1, "A", "Y", "5"), (1, "A", 'q"', "4"),
+        (1, "A", "x, }{", "1"), (3, "C", "c, d", "6"),
+    ]
+    for most in (1, 30, 1 << 16):
+        got = flatten_long_literals(df, "t", most=most).selectExpr("id", "trim(block)", "trim(name)", "value")
+        assert rows(got) == sorted(want, key=lambda t: [(True, str(v)) for v in t])
+
+
+@pytest.mark.parametrize(
+    "text", [None, "", "{A:{B:[\"1\"]}", "{A:[1]}", "{A:{B:[\"1\"]} x,}", "{A:null}", "{A:{B:[\"1\"]}}}", "x{}", "{A:{B:[\"1\"}]}"]
+)
+def test_cutting_hides_no_bad_record(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    with pytest.raises(Exception, match="not a readable literal"):
+        flatten_long_literals(df, "t").collect()
+
+
+def test_cut_of_many_leaves(spark):
+    inner = ",".join(f'"N {i}":["{i % 100}"]' for i in range(20_000))
+    df = spark.createDataFrame([("{" + f"SP:{{{inner}}},AC:{{{inner}}}" + "}",)], "t string")
+    assert cut_literals(df, "t", 10_000).selectExpr("max(length(t))").first()[0] < 11_000
+    found = flatten_long_literals(df, "t", most=10_000)
+    assert found.selectExpr("count(*)", "count(DISTINCT block, name)", "sum(value)").first()[:] == (
+        40_000, 40_000, 2 * 200 * sum(range(100)),
+    )
