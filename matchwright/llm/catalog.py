@@ -173,6 +173,62 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+OP8_SQL = f"""
+WITH cut AS MATERIALIZED (
+    SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents
+), windows AS MATERIALIZED (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS said
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM cut WHERE len(w) >= 13)
+), least AS (
+    SELECT said, min(doc_id) AS first FROM windows GROUP BY said
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS place
+    FROM windows JOIN least USING (said) WHERE doc_id > first
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM cut
+), counted AS (
+    SELECT doc_id, count(*) AS n_words, count(gone.place) AS n_removed,
+        string_agg(word, ' ' ORDER BY place) FILTER (gone.place IS NULL) AS kept
+    FROM words LEFT JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN counted USING (doc_id)
+"""
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP9_SQL = f"""
+WITH RECURSIVE cut AS MATERIALIZED (
+    SELECT doc_id, {WORDS.format(LOWER)} AS w FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS said
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM cut WHERE len(w) > 0)
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), met AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.said = b.said AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), reached AS (
+    SELECT doc_id, doc_id AS root FROM sizes
+    UNION SELECT links.b, reached.root FROM reached JOIN links ON links.a = reached.doc_id
+), least AS (
+    SELECT doc_id, min(root) AS root FROM reached GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    found = {"op5_exact_topk": OP5_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    found = {
+        "op5_exact_topk": OP5_SQL,
+        "op8_substring_dedup": OP8_SQL,
+        "op9_jaccard_join": OP9_SQL,
+        "pipeline": corpus_pipeline.ORACLE_SQL,
+    }
     return {name: sql for name, sql in found.items() if sql}

@@ -57,15 +57,45 @@ NEGATIVE = set(
 POSITIVE = set("article content post entry main body story text page".split())
 HASHED = 16
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
-    r"|<[!?/][^>]*>|([^<]+)|<",
-    re.S,
-)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[\"'>]")
+_MARKED = r"(?i)<(article|main)[\s/>]"
 _ATTRIBUTE = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _PART = re.compile(r"[a-z]+")
 
 
+class TagEnds:
+    """Where tags end: the first ``>`` outside quotes.
+
+    Quotes that led a search nowhere are remembered, so that all searches of a
+    page together read it a bounded number of times.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = source.rfind(">")
+        self.dead: set[int] = set()
+
+    def plain(self, at: int) -> int:
+        return self.source.find(">", at) if at <= self.last else -1
+
+    def after(self, at: int) -> int:
+        """The end of a tag read up to ``at``; -1 without one."""
+        met = []
+        while at <= self.last:
+            stop = _STOP.search(self.source, at).start()
+            if stop in self.dead:
+                break
+            if self.source[stop] == ">":
+                return stop
+            met.append(stop)
+            at = self.source.find(self.source[stop], stop + 1) + 1
+            if not at:
+                break
+        self.dead.update(met)
+        return -1
+
+
 class Page:
     """Block nodes in page order: parent, tag, attribute tokens, text, link characters."""
 
@@ -97,27 +127,44 @@ class Page:
                     self._add(open_[-1], "#text", [], text, links)
                 run, links = [], 0
 
-        at, n, low = 0, len(source), None
+        def close_from(k: int) -> None:
+            for node in open_[k:]:
+                places[self.tag[node]].pop()
+            del open_[k:]
+
+        def last_of(tags) -> int:
+            """Where in ``open_`` the innermost of these is; 0 if none is open."""
+            return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+        places: dict[str, list[int]] = {"#page": [0]}
+        at, n, ends_of = 0, len(source), TagEnds(source)
         while at < n:
-            found = _TOKEN.match(source, at)
-            at = found.end()
-            ends, name, rest, text = found.groups()
-            if name is None:
-                if text is None and found.group() == "<":
-                    text = "<"
-                if text is not None and not unseen:
-                    text = html.unescape(text) if "&" in text else text
-                    run.append(text)
-                    links += len(text) * (anchors > 0)
+            start = source.find("<", at)
+            text = source[at : start if start >= 0 else n]
+            found = rest = None
+            if start < 0:
+                at = n
+            elif source.startswith("<!--", start):
+                at = source.find("-->", start + 4)
+                at = n if at < 0 else at + 3
+            elif found := _NAME.match(source, start):
+                at = ends_of.after(found.end()) + 1
+                rest = source[found.end() : at - 1]
+            else:
+                at = ends_of.plain(start + 2) + 1 if source[start + 1 : start + 2] in ("!", "?", "/") else 0
+            if at == 0:  # no tag: the sign is text
+                at, text, found = start + 1, text + "<", None
+            if text and not unseen:
+                text = html.unescape(text) if "&" in text else text
+                run.append(text)
+                links += len(text) * (anchors > 0)
+            if not found:
                 continue
-            name = name.lower()
+            ends, name = source[start + 1] == "/", found.group(1).lower()
             if name in RAW and not ends:
-                low = source.lower() if low is None else low
-                stop = low.find("</" + name, at)
-                at = n if stop < 0 else stop
-                if stop >= 0:
-                    stop = source.find(">", at)
-                    at = n if stop < 0 else stop + 1
+                stop = re.compile(f"</{re.escape(name)}", re.I).search(source, at)
+                at = source.find(">", stop.start()) + 1 if stop else 0
+                at = at or n
                 continue
             if name in UNSEEN:
                 unseen = max(0, unseen + (-1 if ends else not rest.endswith("/")))
@@ -135,23 +182,19 @@ class Page:
             close_run()
             anchors = 0
             if ends:
-                for k in range(len(open_) - 1, 0, -1):
-                    if self.tag[open_[k]] == name:
-                        del open_[k:]
-                        break
+                k = last_of((name,))
+                if k:
+                    close_from(k)
                 continue
-            stops = ENDS.get(name)
-            for k in range(len(open_) - 1, 0, -1):
-                tag = self.tag[open_[k]]
-                if tag == "p" or (stops and tag in stops):
-                    del open_[k:]
-                    break
-                if stops and tag in SCOPES:
-                    break
+            stops = ENDS.get(name, ())
+            k = last_of(("p", *stops))
+            if k and not (stops and last_of(SCOPES) > k):
+                close_from(k)
             tokens = []
             if "=" in rest:
                 for value in _ATTRIBUTE.findall(rest):
                     tokens += _PART.findall(value.lower())
+            places.setdefault(name, []).append(len(open_))
             open_.append(self._add(open_[-1], name, tokens, "", 0))
         close_run()
 
@@ -325,7 +368,7 @@ def marked_article(page: Page) -> np.ndarray | None:
     for i in range(1, n):
         state = inside[page.parent[i]]
         tag, tokens = page.tag[i], page.tokens[i]
-        if state == 0 and (tag in ("article", "main") or "x-article" in tokens):
+        if state == 0 and tag in ("article", "main"):
             state = 1
         if tag in ("nav", "aside", "footer", "form") or any(t in NEGATIVE for t in tokens):
             state = 2
@@ -430,27 +473,37 @@ def train(sources: list[str]) -> Trees | None:
     return Trees(x, y) if 0 < y.sum() < len(y) else None
 
 
+def by_rule(page: Page) -> list[bool]:
+    """Per node: not within menus, headers and the like, by tags and attributes."""
+    kept = [True] * len(page.tag)
+    for i in range(1, len(page.tag)):
+        other = page.tag[i] in AROUND[:5] or any(t in NEGATIVE for t in page.tokens[i])
+        kept[i] = kept[page.parent[i]] and not other
+    return kept
+
+
 def main_texts(sources: list[str], trees: Trees | None) -> list[str]:
-    """Main text of each page; without trees all of its text."""
+    """Main text of each page; without trees by tags and attributes alone."""
     pages = [Page(source) for source in sources]
-    rows = [node_features(page) for page in pages]
-    if trees is None or not rows:
-        odds = [np.ones(len(r)) for r in rows]
+    if trees is None or not pages:
+        calls = map(by_rule, pages)
     else:
+        rows = [node_features(page) for page in pages]
         ends = np.cumsum([len(r) for r in rows])
         odds = np.split(trees.log_odds(np.concatenate(rows)), ends[:-1])
+        calls = (decode(page.parent, o) for page, o in zip(pages, odds))
     out = []
-    for page, o in zip(pages, odds):
-        kept = decode(page.parent, o)
+    for page, kept in zip(pages, calls):
         out.append("\n\n".join([t for t, k in zip(page.text, kept) if k and t]))
     return out
 
 
-def fit_pages(pages: DataFrame, html_: str = "html") -> Trees | None:
-    """Trees from at most ``TRAINED`` different pages, the least by hash."""
-    keys = pages.select(F.xxhash64(F.col(html_)).alias("h"), F.col(html_).isNull().alias("none"))
-    chosen = keys.where("NOT none").select("h").distinct().orderBy("h").limit(TRAINED)
-    sample = pages.select(F.xxhash64(F.col(html_)).alias("h"), utf8(html_).alias("html"))
+def fit_pages(pages: DataFrame, html_: str = "html", trained: int = TRAINED) -> Trees | None:
+    """Trees from at most ``trained`` different pages that mark an article, the
+    least by hash; None where no page does."""
+    marked = pages.where(F.col(html_).cast("string").rlike(_MARKED))
+    chosen = marked.select(F.xxhash64(F.col(html_)).alias("h")).distinct().orderBy("h").limit(trained)
+    sample = marked.select(F.xxhash64(F.col(html_)).alias("h"), utf8(html_).alias("html"))
     sample = sample.join(F.broadcast(chosen), "h").dropDuplicates(["h"]).orderBy("h")
     return train([bytes(r.html).decode("utf-8", "replace") for r in sample.select("html").collect()])
 
@@ -464,8 +517,11 @@ def extract_main(
 ) -> DataFrame:
     """(key, url, text, n_chars), one row per row of ``pages``.
 
-    Null and empty pages, and pages without an article, have an empty text;
-    repeated rows and null keys are rows like any other; pages are read whole;
+    Null and empty pages, and pages without an article, have an empty text.
+    Without ``trees`` (no page of the sample marks an article) what tags and
+    attributes do not name as menu, header, footer, sidebar, notice, advert,
+    form or comment is the text. Pages are read in time in proportion to their
+    length; repeated rows and null keys are rows like any other; pages are read whole;
     other columns are dropped; an empty table gives an empty one.
     """
     spread = pages.select(

@@ -2,8 +2,9 @@
 
 Heuristic labellers vote good, bad or abstain on every document. The votes are
 counted by pattern over the whole corpus, and expectation maximisation on
-these counts estimates each labeller's accuracy and the share of good
-documents, with no labels given. The posteriors of a bounded sample then train
+these counts estimates each labeller's accuracy, with no labels given. Neither
+class is taken to be the larger, and labellers are taken to err independently
+of each other given the class. The posteriors of a bounded sample then train
 a linear scorer on hashed byte n-grams, which scores every document.
 """
 

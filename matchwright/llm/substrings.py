@@ -270,21 +270,37 @@ class Removal:
         found = fragments.mapInArrow(_locate, "key long, h long, start long, stop long")
         self.spans = stage_table(found.distinct(), "spans")
 
-    def marked(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``__spans``, or null, and ``__copy``."""
+    def marked(self, docs: DataFrame, own: str = "__") -> DataFrame:
+        """``docs`` with ``<own>spans``, or null, and ``<own>copy``.
+
+        ``own`` starts none of the columns of ``docs`` (``own_prefix``).
+        """
         spans = self.spans.groupBy("key", "h").agg(
-            F.collect_list(F.struct("start", "stop")).alias("__spans"), F.lit(False).alias("c")
+            F.collect_list(F.struct("start", "stop")).alias("spans"), F.lit(False).alias("c")
         )
         none = F.lit(None).cast("array<struct<start:bigint,stop:bigint>>")
-        copies = self.copies.select("key", "h", none.alias("__spans"), F.lit(True).alias("c"))
-        marks = spans.unionByName(copies).withColumnsRenamed({"key": "__k", "h": "__h", "c": "__c"})
-        marks = marks.groupBy("__k", "__h").agg(
-            F.first("__spans", ignorenulls=True).alias("__spans"), F.max("__c").alias("__copy")
+        copies = self.copies.select("key", "h", none.alias("spans"), F.lit(True).alias("c"))
+        marks = (
+            spans.unionByName(copies)
+            .select(F.col("key").alias(f"{own}k"), F.col("h").alias(f"{own}h"), "spans", "c")
+            .groupBy(f"{own}k", f"{own}h")
+            .agg(
+                F.first("spans", ignorenulls=True).alias(f"{own}spans"),
+                F.max("c").alias(f"{own}copy"),
+            )
         )
-        on = (F.col(self.key).cast("long") == F.col("__k")) & (
-            F.xxhash64(utf8(self.text)) == F.col("__h")
+        on = (F.col(self.key).cast("long") == F.col(f"{own}k")) & (
+            F.xxhash64(utf8(self.text)) == F.col(f"{own}h")
         )
-        return docs.join(marks.hint("merge"), on, "left").drop("__k", "__h")
+        return docs.join(marks.hint("merge"), on, "left").drop(f"{own}k", f"{own}h")
+
+
+def own_prefix(columns: list[str]) -> str:
+    """A prefix that no column's name starts with."""
+    own = "__"
+    while any(c.lower().startswith(own) for c in columns):
+        own += "_"
+    return own
 
 
 def kept_words(words: list[bytes], spans: list[dict] | None, copy: bool) -> list[bytes]:
@@ -305,12 +321,17 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     One row per row of ``docs``. Null and empty texts have no words; rows with
     a null key lose nothing and cost others nothing; rows of one key are one
     document to each other; other columns are dropped; an empty table gives an
-    empty one.
+    empty one. Keys are whole numbers: their order says who is earlier, and a
+    text that is no number raises.
     """
     slim = docs.select(key, text)
-    marked = Removal(slim, key, text).marked(slim)
+    own = own_prefix(slim.columns)
+    marked = Removal(slim, key, text).marked(slim, own)
     spread = marked.select(
-        F.col(key).alias("key"), utf8(text).alias("text"), "__spans", "__copy"
+        F.col(key).alias("key"),
+        utf8(text).alias("text"),
+        F.col(f"{own}spans").alias("__spans"),
+        F.col(f"{own}copy").alias("__copy"),
     )
 
     def make():
@@ -342,15 +363,18 @@ def without_repeats(
     """``docs``, all columns, texts without what ``remove_repeats`` removes.
 
     Texts that lose nothing stay as they are; ``size``, where there is such a
-    column, follows the text.
+    column, follows the text. Nulls, repeated rows, keys and empty tables as in
+    ``remove_repeats``; texts of any length are taken whole; other columns stay,
+    whatever their names.
     """
-    marked = Removal(docs.select(key, text), key, text).marked(docs)
     names = docs.columns
+    own = own_prefix(names)
+    marked = Removal(docs.select(key, text), key, text).marked(docs, own)
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(text).to_pylist()
-            marks = (batch.column(c).to_pylist() for c in ("__spans", "__copy"))
+            marks = (batch.column(f"{own}{c}").to_pylist() for c in ("spans", "copy"))
             for i, (spans, copy) in enumerate(zip(*marks)):
                 if spans or copy:
                     words = (texts[i] or "").encode().split()

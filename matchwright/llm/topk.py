@@ -26,6 +26,8 @@ TOGETHER = 128
 HEADS = (12, 28)
 MOST_TASKS = 10_000
 LOWEST = np.iinfo(np.int64).min
+#: Vectors shorter than this have products within 64 bits, rounding included.
+LONGEST = 3.0e9
 
 
 def quantised(df: DataFrame, scale: int, key: str, vector: str) -> DataFrame:
@@ -173,7 +175,8 @@ def top_products(
     rows but the query's own; ties go to the smaller key. ``quantised`` says
     which rows take part; shorter vectors are filled with zeros; repeated rows
     count once; with few rows all are returned; an empty table gives an empty
-    one. Products are exact while they fit 64 bits. One length per block of
+    one. Where the longest vector's product with itself leaves 64 bits, scores
+    could wrap: an ``OverflowError`` says so. One length per block of
     ``block`` vectors, one block and the axes reach the driver.
     """
     spark = df.sparkSession
@@ -184,9 +187,11 @@ def top_products(
         ),
         "vectors",
     )
-    n, dims = ready.agg(F.count("*"), F.max(F.size("vec"))).first()
+    n, dims, longest = ready.agg(F.count("*"), F.max(F.size("vec")), F.max("length")).first()
     if not n:
         return spark.createDataFrame([], kind).withColumnRenamed("vec_id", key)
+    if longest >= LONGEST:
+        raise OverflowError(f"a vector of length {longest:g}: products may leave 64 bits")
     dims = max(1, dims)
     axes = rotation(ready, dims)
     n_blocks = -(-n // block)
