@@ -11,7 +11,9 @@ Kaushik, VLDB 2006); sets similar enough share one.
 Equal sets are one class and are signed alike. In a bucket of one signature
 classes meet its least class first; only classes that this leaves in different
 components meet each other. Every pair that is met passes a bound on its
-difference, from counts of hashed elements, before the sets are compared.
+difference before the sets are compared: a set's sketch holds, for each of 1,024
+cells of hashed elements, whether their number is odd, and sets differ in at
+least as many elements as their sketches in bits.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ from matchwright.sources.staging import stage_table
 
 SHINGLE = 4
 PERCENT = 85
-BINS = 96
-COARSE = 48
+#: Longs of 64 cells in a set's sketch.
+SKETCH = 16
 CACHED = 400_000
 
 _A, _B, _C = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -148,12 +150,23 @@ def class_of(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63) or 1
 
 
-def counts_in_bins(elements: np.ndarray) -> np.ndarray:
-    return np.bincount((elements % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """Parities of the elements' numbers in 64 cells for each of ``SKETCH`` longs."""
+    cells = SKETCH * 64
+    odd = np.bincount((elements % np.uint64(cells)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def possible(x: str, y: str, percent: int) -> str:
+    """SQL: sizes and sketches, columns that start so, allow similar sets."""
+    apart = " + ".join(f"bit_count({x}m{k} ^ {y}m{k})" for k in range(SKETCH))
+    return f"""100 * least({x}n, {y}n) >= {percent} * greatest({x}n, {y}n)
+        AND ({apart}) * {100 + percent} <= {100 - percent} * ({x}n + {y}n)"""
 
 
 def set_rows(spread: DataFrame, words: int) -> DataFrame:
-    """(key, n, class, bins, coarse) of every row of (key, text): whole texts."""
+    """(key, n, class, m0, m1, ...) of every row of (key, text): whole texts."""
+    marks = [f"m{k}" for k in range(SKETCH)]
 
     def make():
         shingler = Shingler(words)
@@ -161,21 +174,20 @@ def set_rows(spread: DataFrame, words: int) -> DataFrame:
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             sets = shingler.sets(batch.column("text").to_pylist())
-            bins = [counts_in_bins(s) for s in sets]
-            coarse = [b.reshape(-1, COARSE).sum(axis=0).astype(np.int32) for b in bins]
+            odd = np.array([sketch(s) for s in sets], np.int64).reshape(-1, SKETCH)
             columns = [
                 batch.column("key"),
                 pa.array(list(map(len, sets)), pa.int64()),
                 pa.array(list(map(class_of, sets)), pa.int64()),
-                pa.array([b.astype("<u4").tobytes() for b in bins], pa.binary()),
-                pa.array(coarse, pa.list_(pa.int32())),
+                *map(pa.array, np.ascontiguousarray(odd.T)),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["key", "n", "class", "bins", "coarse"])
+            return pa.RecordBatch.from_arrays(columns, ["key", "n", "class", *marks])
 
         return work
 
     kind = spread.schema["key"].dataType.simpleString()
-    return map_slices(spread, "text", f"key {kind}, n long, class long, bins binary, coarse array<int>", make)
+    longs = ", ".join(f"{c} long" for c in ("n", "class", *marks))
+    return map_slices(spread, "text", f"key {kind}, {longs}", make)
 
 
 def signature_rows(spread: DataFrame, words: int, percent: int) -> DataFrame:
@@ -246,25 +258,6 @@ def _runs(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["sig", "center", "class"])
 
 
-def _near_by_bins(percent: int):
-    """Keep (a, b) whose bins allow enough in common."""
-
-    def run(batches):
-        for batch in batches:
-            n = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
-            a, b = (
-                np.frombuffer(b"".join(batch.column(x).to_pylist()), "<u4").reshape(-1, BINS)
-                for x in ("a_bins", "b_bins")
-            )
-            apart = np.abs(a.astype(np.int64) - b).sum(axis=1)
-            near = apart * (100 + percent) <= (100 - percent) * n
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b")], ["a", "b"]
-            ).filter(pa.array(near))
-
-    return run
-
-
 class NearJoin:
     """One join: its documents, classes and the checks between classes."""
 
@@ -277,7 +270,7 @@ class NearJoin:
             .groupBy("class")
             .agg(
                 F.min("key").alias("rep"),
-                *(F.min(c).alias(c) for c in ("n", "bins", "coarse")),
+                *(F.min(c).alias(c) for c in ("n", *(f"m{k}" for k in range(SKETCH)))),
             ),
             "classes",
         )
@@ -289,23 +282,16 @@ class NearJoin:
         return stage_table(dealt.mapInArrow(_runs, "sig long, center long, class long"), "members")
 
     def _side(self, name: str) -> DataFrame:
+        told = ("n", *(f"m{k}" for k in range(SKETCH)))
         return self.classes.select(
-            F.col("class").alias(name),
-            F.col("n").alias(f"{name}_n"),
-            F.col("bins").alias(f"{name}_bins"),
+            F.col("class").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in told)
         ).hint("merge")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct (a, b) that are similar, by their whole sets."""
         low, high = self.percent, 100
-        sized = (
-            pairs.join(self._side("a"), "a")
-            .join(self._side("b"), "b")
-            .where(f"{high} * least(a_n, b_n) >= {low} * greatest(a_n, b_n)")
-        )
-        near = stage_table(
-            sized.mapInArrow(_near_by_bins(self.percent), "a long, b long"), "near"
-        )
+        met = pairs.join(self._side("a"), "a").join(self._side("b"), "b")
+        near = stage_table(met.where(possible("a_", "b_", low)).select("a", "b"), "near")
         named = near.select("a").unionByName(near.select(F.col("b").alias("a"))).distinct()
         reps = self.classes.join(named.withColumnRenamed("a", "class").hint("merge"), "class")
         reps = reps.select(F.col("rep").alias("key"), "class")
@@ -351,8 +337,8 @@ class NearJoin:
         """Pairs of one bucket that the links so far leave apart.
 
         Buckets of one component are done. In the others, classes outside the
-        center's component meet the rest; sizes and coarse counts are part of
-        the join's condition, so that only possible links come out of it.
+        center's component meet the rest; sizes and sketches are part of the
+        join's condition, so that only possible links come out of it.
         """
         root = roots.select(F.col("node").alias("class"), "root")
         at = members.join(root.hint("merge"), "class", "left").withColumn(
@@ -365,22 +351,17 @@ class NearJoin:
         ).withColumn("home", F.coalesce("home", "center"))
         at = stage_table(at.select("sig", "class", "root", "home"), "at")
         mixed_ = at.where("root <> home").select("sig").distinct()
-        coarse = [f"c{k}" for k in range(COARSE)]
-        info = self.classes.select(
-            "class", "n", *(F.col("coarse")[k].alias(c) for k, c in enumerate(coarse))
-        )
+        told = ("n", *(f"m{k}" for k in range(SKETCH)))
         full = (
             at.join(mixed_.hint("merge"), "sig", "left_semi")
-            .join(info.hint("merge"), "class")
-            .select("sig", "class", "root", "home", "n", *coarse)
+            .join(self.classes.select("class", *told).hint("merge"), "class")
+            .select("sig", "class", "root", "home", *told)
         )
         full = stage_table(full, "mixed")
         x = full.where("root <> home").alias("x")
-        apart = " + ".join(f"abs(x.{c} - y.{c})" for c in coarse)
         condition = f"""x.sig = y.sig AND x.root <> y.root
             AND (y.root = y.home OR x.class < y.class)
-            AND 100 * least(x.n, y.n) >= {self.percent} * greatest(x.n, y.n)
-            AND ({apart}) * {100 + self.percent} <= {100 - self.percent} * (x.n + y.n)"""
+            AND {possible("x.", "y.", self.percent)}"""
         met = x.join(full.alias("y").hint("merge"), F.expr(condition))
         return met.selectExpr(
             "least(x.class, y.class) AS a", "greatest(x.class, y.class) AS b"

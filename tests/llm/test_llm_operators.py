@@ -16,7 +16,7 @@ from matchwright.llm import html_text, toxicity
 from matchwright.llm.byte_bpe import encode_texts
 from matchwright.llm.chat import chat_windows, read_windows
 from matchwright.llm.components import smallest_reachable
-from matchwright.llm.near_join import PartEnum, Shingler, near_components
+from matchwright.llm.near_join import NearJoin, PartEnum, Shingler, near_components, sketch
 from matchwright.llm.packing import BITS, DIMS, cut_pieces, hilbert_keys, pack_documents
 from matchwright.llm.quality_classifier import classify, keep_good
 from matchwright.llm.quality_rules import apply_rules, keep_by_rules, rule_counts
@@ -403,6 +403,36 @@ def test_similar_sets_share_a_signature():
             assert np.intersect1d(a, b).size, (size, drop, add)
 
 
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 40, 900, 5000):
+        base = rng.integers(1 << 63, size=size, dtype=np.uint64)
+        for drop in (0, size // 20, size // 2):
+            other = np.r_[base[drop:], rng.integers(1 << 63, size=drop, dtype=np.uint64)]
+            bits = np.unpackbits((sketch(base) ^ sketch(other)).view(np.uint8)).sum()
+            assert bits <= 2 * drop
+            assert size != 40 or bits >= 2 * drop - 8  # nearly all of them where there is room
+
+
+def test_copies_just_below_the_limit(spark):
+    # 300 copies of 80 words, two of them changed: few links, no crowd of candidates
+    rng, words = np.random.default_rng(4), [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(300):
+        own = list(words)
+        for at in rng.choice(80, 2, replace=False):
+            own[at] = f"x{rng.integers(10**9)}"
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs).collect()}
+    assert got == want
+    join = NearJoin(docs, 4, 85, "doc_id", "text")
+    none = spark.createDataFrame([], "node long, root long")
+    met = join.across(join.members(), none)
+    assert join.links(met).count() <= met.count() <= 300
+
+
 def test_shingles_of_short_texts():
     a, b, c, d = Shingler().sets([b"", b"A b", b"a  B", b"a b c d a b c d"])
     assert len(a) == 0 and len(b) == 1 and (b == c).all() and len(d) == 4
