@@ -10,7 +10,8 @@ Kaushik, VLDB 2006); sets similar enough share one.
 
 Equal sets are one class and are signed alike. In a bucket of one signature
 classes meet its least class first; only classes that this leaves in different
-components meet each other. Every pair that is met passes a bound on its
+components meet its hub, the class with most links, and those that this leaves
+apart as well meet each other. Every pair that is met passes a bound on its
 difference before the sets are compared: a set's sketch holds, for each of 1,024
 cells of hashed elements, whether their number is odd, and sets differ in at
 least as many elements as their sketches in bits.
@@ -35,6 +36,8 @@ SHINGLE = 4
 PERCENT = 85
 #: Longs of 64 cells in a set's sketch.
 SKETCH = 16
+#: Times that mixed buckets meet their hub before all that is left apart does.
+HUB_ROUNDS = 1
 CACHED = 400_000
 
 _A, _B, _C = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -333,13 +336,9 @@ class NearJoin:
 
         return map_slices(texts, "text", "class long, elements array<long>", make)
 
-    def across(self, members: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs of one bucket that the links so far leave apart.
-
-        Buckets of one component are done. In the others, classes outside the
-        center's component meet the rest; sizes and sketches are part of the
-        join's condition, so that only possible links come out of it.
-        """
+    def mixed(self, members: DataFrame, roots: DataFrame) -> DataFrame:
+        """(sig, class, root, home, n, sketch) of buckets that the links so far
+        leave in several components; home is the center's."""
         root = roots.select(F.col("node").alias("class"), "root")
         at = members.join(root.hint("merge"), "class", "left").withColumn(
             "root", F.coalesce("root", "class")
@@ -350,14 +349,34 @@ class NearJoin:
             "left",
         ).withColumn("home", F.coalesce("home", "center"))
         at = stage_table(at.select("sig", "class", "root", "home"), "at")
-        mixed_ = at.where("root <> home").select("sig").distinct()
+        apart = at.where("root <> home").select("sig").distinct()
         told = ("n", *(f"m{k}" for k in range(SKETCH)))
         full = (
-            at.join(mixed_.hint("merge"), "sig", "left_semi")
+            at.join(apart.hint("merge"), "sig", "left_semi")
             .join(self.classes.select("class", *told).hint("merge"), "class")
             .select("sig", "class", "root", "home", *told)
         )
-        full = stage_table(full, "mixed")
+        return stage_table(full, "mixed")
+
+    def to_hubs(self, full: DataFrame, links: DataFrame) -> DataFrame:
+        """Pairs of a mixed bucket's hub, its class with most links, and the
+        classes outside the hub's component: one row a member at most."""
+        ends = links.select("a").unionByName(links.select(F.col("b").alias("a")))
+        degree = ends.groupBy(F.col("a").alias("class")).agg(F.count("*").alias("degree"))
+        at = full.select("sig", "class", "root").join(degree.hint("merge"), "class", "left")
+        rank = F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "class", "root")
+        hub = at.groupBy("sig").agg(F.max(rank).alias("hub"))
+        met = at.join(hub.hint("merge"), "sig").where("root <> hub.root")
+        return met.selectExpr(
+            "least(class, hub.class) AS a", "greatest(class, hub.class) AS b"
+        ).distinct()
+
+    def across(self, full: DataFrame) -> DataFrame:
+        """Pairs of one mixed bucket in different components.
+
+        Classes outside the center's component meet the rest; sizes and sketches
+        are part of the join's condition, so that only possible links come out.
+        """
         x = full.where("root <> home").alias("x")
         condition = f"""x.sig = y.sig AND x.root <> y.root
             AND (y.root = y.home OR x.class < y.class)
@@ -401,7 +420,11 @@ def near_components(
     rest = join.links(_apart(star, roots).distinct())
     links = links.unionByName(rest)
     roots = smallest_reachable(links)
-    more = join.links(join.across(members, roots))
+    for _ in range(HUB_ROUNDS):
+        hubs = join.to_hubs(join.mixed(members, roots), links)
+        links = links.unionByName(join.links(hubs))
+        roots = smallest_reachable(links)
+    more = join.links(join.across(join.mixed(members, roots)))
     roots = smallest_reachable(links.unionByName(more)).withColumnRenamed("node", "class")
     placed = join.classes.join(roots.hint("merge"), "class", "left").withColumn(
         "root", F.coalesce("root", "class")

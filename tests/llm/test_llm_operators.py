@@ -429,7 +429,7 @@ def test_copies_just_below_the_limit(spark):
     assert got == want
     join = NearJoin(docs, 4, 85, "doc_id", "text")
     none = spark.createDataFrame([], "node long, root long")
-    met = join.across(join.members(), none)
+    met = join.across(join.mixed(join.members(), none))
     assert join.links(met).count() <= met.count() <= 300
 
 
