@@ -38,6 +38,10 @@ S3_NAME = "CASE WHEN c_mktsegment = 'FURNITURE' THEN upper(c_name) ELSE c_name E
 S3_VALUE = "CASE WHEN c_acctbal > 9000 THEN c_nationkey + 7 ELSE c_nationkey + 5 END"
 CODED = {"s1": ("F", S1_NAME, S1_VALUE), "s2": ("O", S2_NAME, S2_VALUE), "s3": ("P", S3_NAME, S3_VALUE)}
 
+# What the records of literals say: capitals, some with a sign too many.
+LITERAL_NAME = "upper(CASE WHEN c_custkey % 20 = 3 THEN replace(c_name, '#', '##') ELSE c_name END)"
+LITERAL_VALUE = "CASE WHEN c_acctbal > 9000 THEN c_nationkey + 7 ELSE c_nationkey + 5 END"
+
 # A part's name written like a place name of a coded source.
 SHOUTED_PART = (
     "concat(upper(replace(p_name, ' ', '-')), ' DO ', p_type, ' DA D''OESTE DE ', upper(p_brand))"

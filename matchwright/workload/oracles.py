@@ -117,6 +117,30 @@ long AS (SELECT * FROM (
          WHERE NOT (value IS NULL AND name IS NULL))"""
 )
 
+_WHOLE = (
+    _PROVENANCE
+    + f""",
+{_CODED},
+capitals AS (SELECT code, upper(name) AS name, block FROM registry),
+told AS (SELECT {inputs.LITERAL_NAME} AS name, c_nationkey AS block, CAST({inputs.LITERAL_VALUE} AS INTEGER) AS value
+         FROM customer),
+direct AS (SELECT t.name, t.block, t.value, r.code FROM told t
+           LEFT JOIN capitals r ON t.name = r.name AND t.block = r.block),
+left3 AS (SELECT name, block, value FROM direct WHERE code IS NULL),
+pool3 AS (SELECT * FROM capitals r WHERE NOT EXISTS (SELECT 1 FROM direct d WHERE d.code = r.code)),"""
+    + _stage(3, 1, "left3", "pool3")
+    + """,
+w1 AS (SELECT code, coalesce(name_corrected, name) AS name, value FROM prov WHERE code IS NOT NULL),
+w2 AS (SELECT code, name, value FROM s2),
+w3 AS (SELECT x.code, r.name, x.value FROM (
+         SELECT code, value FROM direct WHERE code IS NOT NULL UNION ALL SELECT code, value FROM stage3) x
+       JOIN registry r ON r.code = x.code),
+in_all AS (SELECT w2.code, w2.value FROM w1 JOIN w2 ON w1.code = w2.code JOIN w3 ON w1.code = w3.code),
+gap AS (SELECT DISTINCT code, name, value
+         FROM (SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3)
+         WHERE code NOT IN (SELECT code FROM in_all) AND code <> 11 AND name <> 'Customer#000000013')"""
+)
+
 
 def _fuzzy(k: int, left: str = "src", pool: str = "registry") -> str:
     return f"""WITH {_EXACT}, near AS MATERIALIZED {_near(left, pool, k)}
@@ -273,6 +297,10 @@ def oracle_sql() -> dict[str, str]:
         "conflict_values": _conflict("code", "value"),
         "conflict_names": _conflict("code", "name"),
         "conflict_codes": _conflict("name", "code"),
+        "whole_job": f"""WITH {_WHOLE}
+            SELECT b.code, r.name, r.block, b.value
+            FROM (SELECT code, value FROM in_all UNION ALL SELECT code, value FROM gap) b
+            LEFT JOIN registry r ON r.code = b.code""",
         "reconcile_final": f"""WITH {_INPUTS}, {_GAPS},
             fixed AS (SELECT DISTINCT code, name, value FROM long WHERE code <> 11 AND name <> 'Customer#000000013'),
             both_rows AS (SELECT code, value_s2 AS value FROM inners UNION ALL SELECT code, value FROM fixed)

@@ -509,6 +509,47 @@ def reconcile_final(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.merge_reconciled(reconcile_agreed(spark, sf), gaps, dimension, "code", "value")
 
 
+def _from_names(spark: SparkSession, sf: str) -> DataFrame:
+    """The source without codes: cascade, crosswalk, registry's names."""
+    return coalesce_name(spark, sf).filter(F.col("code").isNotNull())
+
+
+def _from_literals(spark: SparkSession, sf: str) -> DataFrame:
+    """Names in capitals out of literals, matched and respelled."""
+    records = table(spark, sf, "customer").select(
+        F.concat(
+            F.lit('{"'), F.col("c_nationkey").cast("string"), F.lit('":{"'),
+            F.expr(inputs.LITERAL_NAME), F.lit('":["'),
+            F.expr(inputs.LITERAL_VALUE).cast("string"), F.lit('"]}}'),
+        ).alias("record")
+    )
+    rows = flatten_literals(records, "record")
+    rows = rows.withColumn("value", as_integer("value")).withColumn("block", as_integer("block"))
+    official = inputs.registry(spark, sf)
+    capitals = official.withColumn("name", F.upper("name"))
+    cascade = matching.match_cascade(rows, capitals, LINK, dists=(1,))
+    settled = matching.assemble_matches(
+        cascade.exact, list(cascade.stages.values()), cols=LINK, respell_from=official
+    )
+    return settled.filter(F.col("code").isNotNull())
+
+
+def whole_job(spark: SparkSession, sf: str) -> DataFrame:
+    # a source of names, a coded one and one of literals, from scan to merged rows
+    columns = ["code", "name", "block", "value"]
+    sources = {
+        "s1": stage_table(_from_names(spark, sf).select(columns), "cleaned"),
+        "s2": inputs.coded_source(spark, sf, "s2").select(columns),
+        "s3": stage_table(_from_literals(spark, sf).select(columns), "cleaned"),
+    }
+    gaps = reconcile.corrected_gaps(
+        reconcile.gap_rows_long(sources, "code", ["value", "name"]), RULES[1:], "code", ["name", "value"]
+    )
+    agreed = reconcile.agreed_rows(sources, "code", "value", preferred="s2")
+    dimension = inputs.registry(spark, sf).select("code", "name", "block")
+    return reconcile.merge_reconciled(agreed, gaps, dimension, "code", "value")
+
+
 def any_null_check(spark: SparkSession, sf: str) -> DataFrame:
     checks = [
         quality.any_null(rows).withColumn("source", F.lit(tag))
@@ -594,6 +635,7 @@ def queries() -> dict[str, Query]:
         "conflict_names": _conflict("code", "name"),
         "conflict_codes": _conflict("name", "code"),
         "reconcile_final": reconcile_final,
+        "whole_job": whole_job,
         "any_null_check": any_null_check,
         "quality_report": quality_report,
     }
