@@ -14,7 +14,15 @@ components meet its hub, the class with most links, and those that this leaves
 apart as well meet each other. Every pair that is met passes a bound on its
 difference before the sets are compared: a set's sketch holds, for each of 1,024
 cells of hashed elements, whether their number is odd, and sets differ in at
-least as many elements as their sketches in bits.
+least as many elements as their sketches in bits. Where sets are so large that
+this tells nothing, pairs pass a second sketch, with cells in proportion to the
+set, before whole sets travel.
+
+Where parts hold few elements, one element that many sets share fills a bucket
+with sets that share little else. There the domain has more groups than
+differences ask for, so that similar sets agree in so many groups more; a class
+with no more signatures in crowded buckets than that leaves those buckets and
+still shares another with each similar one.
 """
 
 from __future__ import annotations
@@ -38,6 +46,10 @@ PERCENT = 85
 SKETCH = 16
 #: Times that mixed buckets meet their hub before all that is left apart does.
 HUB_ROUNDS = 1
+#: Sets of this many elements and more have a second sketch of two cells and more an element.
+LARGE = 1024
+#: A bucket with more classes is crowded.
+CROWD = 8
 CACHED = 400_000
 
 _A, _B, _C = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -94,6 +106,9 @@ class PartEnum:
     def __init__(self, percent: int = PERCENT):
         self.percent = percent
         self.most = [1]  # the largest size of each band
+        # two parts of the largest set of a band hold about so many elements
+        held = 2 * (100 + percent) / (3 * max(100 - percent, 1))
+        self.share = 6 if held < 7 else 0
 
     def band(self, size: int) -> int:
         while self.most[-1] < size:
@@ -105,6 +120,22 @@ class PartEnum:
         """Differing elements that two similar sets of these sizes together have at most."""
         return sizes * (100 - self.percent) // (100 + self.percent)
 
+    def groups(self, band: int) -> tuple[int, int]:
+        """Groups that differences in a band ask for (0: none differ), and those
+        that a set may leave for being in crowded buckets."""
+        while len(self.most) <= band:
+            self.band(self.most[-1] + 1)
+        k = self.differences(2 * self.most[band])
+        asked = k // 2 + 1 if k else 0
+        return asked, asked // self.share if self.share else 0
+
+    def leaves(self) -> str:
+        """SQL: how many crowded buckets a set of n elements may leave."""
+        if not self.share:
+            return "0"
+        k = f"2 * n * {100 - self.percent} DIV {100 + self.percent}"  # its band's sets are no smaller
+        return f"({k} DIV 2 + 1) DIV {self.share}"
+
     def signatures(self, elements: np.ndarray) -> np.ndarray:
         """Signatures in the set's own band, and in the next if a partner may lie there."""
         size = len(elements)
@@ -115,15 +146,12 @@ class PartEnum:
         return np.concatenate([self._in_band(elements, b) for b in bands])
 
     def _in_band(self, elements: np.ndarray, band: int) -> np.ndarray:
-        while len(self.most) <= band:
-            self.band(self.most[-1] + 1)
-        k = self.differences(2 * self.most[band])
-        if k == 0:  # only equal sets are similar, and those are one class
+        groups, left = self.groups(band)
+        if groups == 0:  # only equal sets are similar, and those are one class
             return np.zeros(0, np.int64)
-        groups = k // 2 + 1
         # more groups than needed: sets with few empty parts need not sign empty ones
         spare = 1 + groups // 50
-        groups += spare
+        groups += spare + left
         place = mixed(elements, band + 1)
         part = ((place >> np.uint64(32)) * np.uint64(3 * groups) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -160,6 +188,36 @@ def sketch(elements: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(elements: np.ndarray) -> np.ndarray | None:
+    """Such parities in two cells and more for each element; none for smaller sets."""
+    if len(elements) < LARGE:
+        return None
+    cells = 1 << (2 * len(elements) - 1).bit_length()
+    odd = np.bincount((elements % np.uint64(cells)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def wide_possible(x: str, y: str, percent: int) -> str:
+    """SQL: second sketches, columns that start so, allow similar sets.
+
+    Twice the cells are folded to the other's number, as a cell's place is the
+    rest of a division; numbers further apart allow all.
+    """
+
+    def bits(p: str, q: str) -> str:
+        return f"aggregate(zip_with({p}, {q}, (u, v) -> bit_count(u ^ v)), 0, (s, c) -> s + c)"
+
+    def half(p: str) -> str:
+        n = f"CAST(size({p}) DIV 2 AS INT)"
+        return f"zip_with(slice({p}, 1, {n}), slice({p}, {n} + 1, {n}), (u, v) -> u ^ v)"
+
+    p, q = f"{x}wide", f"{y}wide"
+    apart = f"""CASE WHEN size({p}) = size({q}) THEN {bits(p, q)}
+        WHEN size({p}) = 2 * size({q}) THEN {bits(half(p), q)}
+        WHEN 2 * size({p}) = size({q}) THEN {bits(p, half(q))} ELSE 0 END"""
+    return f"({apart}) * {100 + percent} <= {100 - percent} * ({x}n + {y}n)"
+
+
 def possible(x: str, y: str, percent: int) -> str:
     """SQL: sizes and sketches, columns that start so, allow similar sets."""
     apart = " + ".join(f"bit_count({x}m{k} ^ {y}m{k})" for k in range(SKETCH))
@@ -168,7 +226,7 @@ def possible(x: str, y: str, percent: int) -> str:
 
 
 def set_rows(spread: DataFrame, words: int) -> DataFrame:
-    """(key, n, class, m0, m1, ...) of every row of (key, text): whole texts."""
+    """(key, n, class, m0, m1, ..., wide) of every row of (key, text): whole texts."""
     marks = [f"m{k}" for k in range(SKETCH)]
 
     def make():
@@ -183,14 +241,15 @@ def set_rows(spread: DataFrame, words: int) -> DataFrame:
                 pa.array(list(map(len, sets)), pa.int64()),
                 pa.array(list(map(class_of, sets)), pa.int64()),
                 *map(pa.array, np.ascontiguousarray(odd.T)),
+                pa.array(list(map(wide_sketch, sets)), pa.list_(pa.int64())),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["key", "n", "class", *marks])
+            return pa.RecordBatch.from_arrays(columns, ["key", "n", "class", *marks, "wide"])
 
         return work
 
     kind = spread.schema["key"].dataType.simpleString()
     longs = ", ".join(f"{c} long" for c in ("n", "class", *marks))
-    return map_slices(spread, "text", f"key {kind}, {longs}", make)
+    return map_slices(spread, "text", f"key {kind}, {longs}, wide array<long>", make)
 
 
 def signature_rows(spread: DataFrame, words: int, percent: int) -> DataFrame:
@@ -221,13 +280,14 @@ def signature_rows(spread: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _runs(batches):
-    """(sig, center, class) of signatures with two classes and more.
+    """(sig, center, class, place) of signatures with two classes and more.
 
-    Rows come by signature and class; the center is the least class. Only the
-    run at hand is remembered, as its center and last class.
+    Rows come by signature and class; the center is the least class, and places
+    count from it. Only the run at hand is remembered, as its center, last class
+    and length.
     """
     sig = center = last = None
-    told = False
+    told, length = False, 0
     for batch in batches:
         s, c = batch.column("sig").to_numpy(), batch.column("class").to_numpy()
         if not len(s):
@@ -246,6 +306,10 @@ def _runs(batches):
             centers[0] = center
         size = ends - starts
         of = np.repeat(centers, size)
+        before = length if carried else 0
+        place = np.arange(len(s)) - np.repeat(starts, size)
+        place[: ends[0]] += before
+        length = int(place[-1]) + 1
         shared = of != c
         # a center is a member of its bucket as well, told when it has company
         company = np.flatnonzero(np.add.reduceat(shared, starts) > 0)
@@ -255,10 +319,18 @@ def _runs(batches):
             np.r_[s[shared], s[starts[company]]],
             np.r_[of[shared], centers[company]],
             np.r_[c[shared], centers[company]],
+            np.r_[place[shared], np.zeros(len(company), np.int64)],
         ]
         told = bool(shared[starts[-1] :].any()) or (told and carried and len(starts) == 1)
         sig, center, last = s[-1], centers[-1], c[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["sig", "center", "class"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in out], ["sig", "center", "class", "place"]
+        )
+
+
+def _buckets(signed: DataFrame) -> DataFrame:
+    dealt = signed.repartition("sig").sortWithinPartitions("sig", "class")
+    return dealt.mapInArrow(_runs, "sig long, center long, class long, place long")
 
 
 class NearJoin:
@@ -277,12 +349,26 @@ class NearJoin:
             ),
             "classes",
         )
+        wide = self.rows.where("wide IS NOT NULL AND key IS NOT NULL")
+        self.wide = wide.select("class", "wide").dropDuplicates(["class"])
 
     def members(self) -> DataFrame:
-        """(sig, center, class) of all buckets with company."""
+        """(sig, center, class, place) of all buckets with company."""
         signed = signature_rows(self.spread.where("key IS NOT NULL"), self.words, self.percent)
-        dealt = signed.repartition("sig").sortWithinPartitions("sig", "class")
-        return stage_table(dealt.mapInArrow(_runs, "sig long, center long, class long"), "members")
+        found, leaves = _buckets(signed), PartEnum(self.percent).leaves()
+        if leaves == "0":
+            return stage_table(found, "members")
+        found = stage_table(found, "buckets")
+        crowded = found.where(f"place = {CROWD}").selectExpr("sig", "true AS crowded")
+        marked = found.join(crowded.hint("merge"), "sig", "left")
+        marked = stage_table(marked, "marked")
+        full = marked.where("crowded").select("sig", "class")
+        often = full.groupBy("class").agg(F.count("*").alias("often"))
+        often = often.join(self.classes.select("class", "n").hint("merge"), "class")
+        stay = often.where(f"often > {leaves}").select("class")
+        still = _buckets(full.join(stay.hint("merge"), "class", "left_semi"))
+        roomy = marked.where("crowded IS NULL").drop("crowded")
+        return stage_table(roomy.unionByName(still), "members")
 
     def _side(self, name: str) -> DataFrame:
         told = ("n", *(f"m{k}" for k in range(SKETCH)))
@@ -294,7 +380,17 @@ class NearJoin:
         """Those of the distinct (a, b) that are similar, by their whole sets."""
         low, high = self.percent, 100
         met = pairs.join(self._side("a"), "a").join(self._side("b"), "b")
-        near = stage_table(met.where(possible("a_", "b_", low)).select("a", "b"), "near")
+        near = stage_table(
+            met.where(possible("a_", "b_", low)).select("a", "b", "a_n", "b_n"), "possible"
+        )
+        wide_a, wide_b = (
+            self.wide.select(F.col("class").alias(x), F.col("wide").alias(f"{x}_wide")).hint("merge")
+            for x in ("a", "b")
+        )
+        large = f"a_n >= {LARGE} AND b_n >= {LARGE}"
+        met = near.where(large).join(wide_a, "a").join(wide_b, "b")
+        both = met.where(wide_possible("a_", "b_", low)).select("a", "b")
+        near = stage_table(near.where(f"NOT ({large})").select("a", "b").unionByName(both), "near")
         named = near.select("a").unionByName(near.select(F.col("b").alias("a"))).distinct()
         reps = self.classes.join(named.withColumnRenamed("a", "class").hint("merge"), "class")
         reps = reps.select(F.col("rep").alias("key"), "class")
@@ -338,7 +434,8 @@ class NearJoin:
 
     def mixed(self, members: DataFrame, roots: DataFrame) -> DataFrame:
         """(sig, class, root, home, n, sketch) of buckets that the links so far
-        leave in several components; home is the center's."""
+        leave in several components; home is the center's. A center has met its
+        whole bucket, so a bucket of two has nothing left to meet."""
         root = roots.select(F.col("node").alias("class"), "root")
         at = members.join(root.hint("merge"), "class", "left").withColumn(
             "root", F.coalesce("root", "class")
@@ -348,8 +445,10 @@ class NearJoin:
             "center",
             "left",
         ).withColumn("home", F.coalesce("home", "center"))
-        at = stage_table(at.select("sig", "class", "root", "home"), "at")
+        at = stage_table(at.select("sig", "class", "place", "root", "home"), "at")
+        third = at.where("place = 2").select("sig")
         apart = at.where("root <> home").select("sig").distinct()
+        apart = apart.join(third.hint("merge"), "sig")
         told = ("n", *(f"m{k}" for k in range(SKETCH)))
         full = (
             at.join(apart.hint("merge"), "sig", "left_semi")
