@@ -30,7 +30,7 @@ from matchwright.sources.staging import stage_table
 LENGTH = 2048
 HASHED = 1024
 DIMS, BITS = 4, 12
-CACHED_BYTES = 96 << 20
+CACHED_BYTES = 224 << 20
 SEED = 7
 
 
@@ -136,7 +136,7 @@ class WordTokenizer:
         ids = [coded.ids for coded in found]
         flat = np.fromiter(chain.from_iterable(ids), self.type).tobytes()
         ends = (np.cumsum(list(map(len, ids))) * self.type.itemsize).tolist()
-        fresh.difference_update(self.words)
+        fresh = {w for w in fresh if w not in self.words}
         self.words.update((w, flat[a:b]) for w, a, b in zip(single, [0, *ends], ends))
         get = self.words.__getitem__
         for word, parts in plain.items():
