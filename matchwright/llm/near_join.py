@@ -28,7 +28,6 @@ still shares another with each similar one.
 from __future__ import annotations
 
 import gc
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,11 +50,13 @@ LARGE = 1024
 #: A bucket with more classes is crowded.
 CROWD = 8
 CACHED = 400_000
+#: Bytes of texts that are cut into words at once.
+PIECE = 1 << 18
 
 _A, _B, _C = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
 
-def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
+def mixed(x: np.ndarray, salt: int | np.ndarray = 0) -> np.ndarray:
     """A 64-bit finaliser on an array."""
     x = (x + np.uint64(salt)) * _A
     x = (x ^ (x >> np.uint64(32))) * _B
@@ -63,23 +64,55 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _lower(table: np.ndarray) -> np.ndarray:
+    """A-Z count as a-z."""
+    table[65:91] = table[97:123]
+    return table
+
+
+_LETTER = _lower(mixed(np.arange(256, dtype=np.uint64), 21))
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_PLACE = mixed(np.arange(256, dtype=np.uint64), 22) | np.uint64(1)
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start in bytes that begin and end with a blank, and the words'
+    64-bit hashes: sums of letters times odd numbers of their places, mixed."""
+    inside = ~_BLANK[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64)
+    first = np.cumsum(lengths) - lengths
+    at = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    most = int(lengths.max())
+    places = _PLACE
+    if most > len(places):
+        places = mixed(np.arange(most, dtype=np.uint64), 22) | np.uint64(1)
+    codes = _LETTER[data[inside]] * places[at]
+    return starts, mixed(np.add.reduceat(codes, first) + lengths.astype(np.uint64), 23)
+
+
 class Shingler:
     """Distinct word n-grams of texts, as sorted 64-bit hashes."""
 
     def __init__(self, words: int = SHINGLE):
         self.n = words
-        self.known: dict[bytes, int] = {}
 
     def sets(self, texts: list[bytes]) -> list[np.ndarray]:
-        cut = [text.lower().split() for text in texts]
-        fresh = set().union(*cut).difference(self.known)
-        self.known.update((w, xxhash.xxh64_intdigest(w)) for w in fresh)
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        get = self.known.__getitem__
-        h = np.fromiter(map(get, chain.from_iterable(cut)), np.uint64, sizes.sum())
-        if len(self.known) > CACHED:  # what came first is commonest and stays
-            for word in fresh:
-                del self.known[word]
+        out, start, held = [], 0, 0
+        for at, text in enumerate(texts):
+            held += len(text)
+            if held >= PIECE or at == len(texts) - 1:
+                out += self._sets(texts[start : at + 1])
+                start, held = at + 1, 0
+        return out
+
+    def _sets(self, texts: list[bytes]) -> list[np.ndarray]:
+        data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+        starts, h = word_hashes(data)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        sizes = np.diff(np.searchsorted(starts, ends, side="right"), prepend=0)
         n = min(self.n, len(h))
         code = np.full(len(h) - n + 1 if n else 0, np.uint64(self.n))
         for k in range(n):
@@ -138,40 +171,56 @@ class PartEnum:
 
     def signatures(self, elements: np.ndarray) -> np.ndarray:
         """Signatures in the set's own band, and in the next if a partner may lie there."""
-        size = len(elements)
-        if not size:
-            return np.zeros(0, np.int64)
-        band = self.band(size)
-        bands = [band] if self.band(size * 100 // self.percent) == band else [band, band + 1]
-        return np.concatenate([self._in_band(elements, b) for b in bands])
-
-    def _in_band(self, elements: np.ndarray, band: int) -> np.ndarray:
-        groups, left = self.groups(band)
-        if groups == 0:  # only equal sets are similar, and those are one class
-            return np.zeros(0, np.int64)
+        return self.signed([elements])[0]
+
+    def signed(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures of sets, set by set, and how many each has."""
+        of, bands = [], []
+        for i, size in enumerate(map(len, sets)):
+            if size:
+                band = self.band(size)
+                both = (band,) if self.band(size * 100 // self.percent) == band else (band, band + 1)
+                for b in both:
+                    if self.groups(b)[0]:  # else only equal sets are similar, and those are one class
+                        of.append(i)
+                        bands.append(b)
+        if not of:
+            return np.zeros(0, np.int64), np.zeros(len(sets), np.int64)
+        asked, left = np.array([self.groups(b) for b in bands]).T
         # more groups than needed: sets with few empty parts need not sign empty ones
-        spare = 1 + groups // 50
-        groups += spare + left
-        place = mixed(elements, band + 1)
-        part = ((place >> np.uint64(32)) * np.uint64(3 * groups) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        count = np.bincount(part, minlength=3 * groups)
-        total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(elements, 77)[order])])
-        ends = np.cumsum(count)
-        sums = (total[ends] - total[ends - count]).reshape(groups, 3)
-        count = count.reshape(groups, 3)
-        out = np.empty((groups, 3), np.uint64)
-        blank = np.empty((groups, 3), bool)
-        number = np.arange(groups, dtype=np.uint64) * np.uint64(4) + np.uint64(band << 40)
+        spare = 1 + asked // 50
+        groups = asked + spare + left
+        elements = np.concatenate([sets[i] for i in of])
+        sizes = np.array([len(sets[i]) for i in of])
+        of, band = np.array(of), np.array(bands, np.uint64)
+        first = np.cumsum(groups) - groups
+        place = mixed(elements, np.repeat(band + np.uint64(1), sizes)) >> np.uint64(32)
+        part = place * np.repeat((3 * groups).astype(np.uint64), sizes) >> np.uint64(32)
+        part = part.astype(np.int64) + np.repeat(3 * first, sizes)
+        total = int(groups.sum())
+        count = np.bincount(part, minlength=3 * total).reshape(total, 3)
+        # halves of 32 bits: their sums are exact as doubles
+        value = mixed(elements, 77)
+        low, high = (
+            np.bincount(part, half.astype(np.float64), 3 * total).astype(np.uint64)
+            for half in (value & np.uint64(0xFFFFFFFF), value >> np.uint64(32))
+        )
+        sums = (low + (high << np.uint64(32))).reshape(total, 3)
+        out = np.empty((total, 3), np.uint64)
+        blank = np.empty((total, 3), bool)
+        number = (np.arange(total) - np.repeat(first, groups)).astype(np.uint64) * np.uint64(4)
+        number += np.repeat(band << np.uint64(40), groups)
         for left_out in range(3):
             a, b = (p for p in range(3) if p != left_out)
             out[:, left_out] = mixed(
                 mixed(sums[:, a], 5) + mixed(sums[:, b], 9) * _B + number, left_out + 11
             )
             blank[:, left_out] = count[:, a] + count[:, b] == 0
-        if blank.any(axis=1).sum() <= spare:
-            out = out[~blank]
-        return out.ravel().view(np.int64)
+        few = np.add.reduceat(blank.any(axis=1).astype(np.int64), first) <= spare
+        keep = ~(blank & np.repeat(few, groups)[:, None])
+        own = np.add.reduceat(keep.sum(axis=1), first)
+        many = np.bincount(of, own, len(sets)).astype(np.int64)
+        return out[keep].view(np.int64), many
 
 
 def class_of(elements: np.ndarray) -> int:
@@ -260,19 +309,17 @@ def signature_rows(spread: DataFrame, words: int, percent: int) -> DataFrame:
         gc.disable()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sigs, classes = [], []
+            fresh, names = [], []
             for s in shingler.sets(batch.column("text").to_pylist()):
                 name = class_of(s)
                 if name not in signed:
                     if len(signed) < CACHED:
                         signed.add(name)
-                    own = scheme.signatures(s)
-                    sigs.append(own)
-                    classes.append(np.full(len(own), name, np.int64))
-            none = np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x or [none])) for x in (sigs, classes)], ["sig", "class"]
-            )
+                    fresh.append(s)
+                    names.append(name)
+            sigs, many = scheme.signed(fresh)
+            classes = np.repeat(np.array(names, np.int64), many)
+            return pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(classes)], ["sig", "class"])
 
         return work
 

@@ -85,3 +85,12 @@ def test_groups_to_spare_are_no_fewer_than_what_may_be_left():
         k = 2 * n * 20 // 180
         assert (k // 2 + 1) // scheme.share <= left or not asked
     assert PartEnum(85).leaves() == "0"
+
+
+def test_words_are_those_of_split_and_lower():
+    odd = [b"", b" \t", b"A b\x0bC", b"\xc3\x84 b\xc2\xa0c d", b"x" * 700 + b" Y", b"\x00 \x1c z"]
+    data = b" " + b" ".join(odd) + b" "
+    starts, hashes = near_join.word_hashes(np.frombuffer(data, np.uint8))
+    words = data.lower().split()
+    assert [data[s:].lower().split(None, 1)[0] for s in starts] == words
+    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
