@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchwright.sources.staging import stage_table
+from matchwright.sources.staging import drop_tables, stage_table
 
 
 def _hung(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
     mark = F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
     seen = now.agg(F.count("*"), mark).first()
     while seen[0]:
-        now = stage_table(_hung(now), "edges")
+        last, now = now, stage_table(_hung(now), "edges")
+        drop_tables(last)
         then = now.agg(F.count("*"), mark).first()
         if then == seen:
             break

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from matchwright.llm.batches import map_slices, utf8
 from matchwright.llm.components import smallest_reachable
-from matchwright.sources.staging import stage_table
+from matchwright.sources.staging import drop_tables, shuffles_freed, stage_table
 
 SHINGLE = 4
 PERCENT = 85
@@ -141,7 +141,7 @@ class PartEnum:
         self.most = [1]  # the largest size of each band
         # two parts of the largest set of a band hold about so many elements
         held = 2 * (100 + percent) / (3 * max(100 - percent, 1))
-        self.share = 6 if held < 7 else 0
+        self.share, self.spare = (6, 20) if held < 7 else (0, 50)
 
     def band(self, size: int) -> int:
         while self.most[-1] < size:
@@ -162,6 +162,10 @@ class PartEnum:
         asked = k // 2 + 1 if k else 0
         return asked, asked // self.share if self.share else 0
 
+    def needed(self, size: int, band: int) -> int:
+        """Groups of which one agrees with any similar set that signs in the band."""
+        return self.differences(size + min(self.most[band], size * 100 // self.percent)) // 2 + 1
+
     def leaves(self) -> str:
         """SQL: how many crowded buckets a set of n elements may leave."""
         if not self.share:
@@ -187,9 +191,9 @@ class PartEnum:
         if not of:
             return np.zeros(0, np.int64), np.zeros(len(sets), np.int64)
         asked, left = np.array([self.groups(b) for b in bands]).T
-        # more groups than needed: sets with few empty parts need not sign empty ones
-        spare = 1 + asked // 50
-        groups = asked + spare + left
+        # more groups than needed, for those with empty parts
+        groups = asked + 1 + asked // self.spare + left
+        need = left + np.array([self.needed(len(sets[i]), b) for i, b in zip(of, bands)])
         elements = np.concatenate([sets[i] for i in of])
         sizes = np.array([len(sets[i]) for i in of])
         of, band = np.array(of), np.array(bands, np.uint64)
@@ -216,8 +220,13 @@ class PartEnum:
                 mixed(sums[:, a], 5) + mixed(sums[:, b], 9) * _B + number, left_out + 11
             )
             blank[:, left_out] = count[:, a] + count[:, b] == 0
-        few = np.add.reduceat(blank.any(axis=1).astype(np.int64), first) <= spare
-        keep = ~(blank & np.repeat(few, groups)[:, None])
+        # a set signs its first groups, as many as its own size asks for without the
+        # empty ones; of two similar sets the one that stops first has enough in both
+        full = (~blank.any(axis=1)).astype(np.int64)
+        told = np.add.reduceat(full, first)
+        before = np.cumsum(full) - full - np.repeat(np.cumsum(told) - told, groups)
+        enough = np.repeat(told >= need, groups)
+        keep = ((before < np.repeat(need, groups))[:, None] & ~blank) | ~enough[:, None]
         own = np.add.reduceat(keep.sum(axis=1), first)
         many = np.bincount(of, own, len(sets)).astype(np.int64)
         return out[keep].view(np.int64), many
@@ -409,13 +418,16 @@ class NearJoin:
         crowded = found.where(f"place = {CROWD}").selectExpr("sig", "true AS crowded")
         marked = found.join(crowded.hint("merge"), "sig", "left")
         marked = stage_table(marked, "marked")
+        drop_tables(found)
         full = marked.where("crowded").select("sig", "class")
         often = full.groupBy("class").agg(F.count("*").alias("often"))
         often = often.join(self.classes.select("class", "n").hint("merge"), "class")
         stay = often.where(f"often > {leaves}").select("class")
         still = _buckets(full.join(stay.hint("merge"), "class", "left_semi"))
         roomy = marked.where("crowded IS NULL").drop("crowded")
-        return stage_table(roomy.unionByName(still), "members")
+        members = stage_table(roomy.unionByName(still), "members")
+        drop_tables(marked)
+        return members
 
     def _side(self, name: str) -> DataFrame:
         told = ("n", *(f"m{k}" for k in range(SKETCH)))
@@ -427,7 +439,7 @@ class NearJoin:
         """Those of the distinct (a, b) that are similar, by their whole sets."""
         low, high = self.percent, 100
         met = pairs.join(self._side("a"), "a").join(self._side("b"), "b")
-        near = stage_table(
+        first = stage_table(
             met.where(possible("a_", "b_", low)).select("a", "b", "a_n", "b_n"), "possible"
         )
         wide_a, wide_b = (
@@ -435,9 +447,10 @@ class NearJoin:
             for x in ("a", "b")
         )
         large = f"a_n >= {LARGE} AND b_n >= {LARGE}"
-        met = near.where(large).join(wide_a, "a").join(wide_b, "b")
+        met = first.where(large).join(wide_a, "a").join(wide_b, "b")
         both = met.where(wide_possible("a_", "b_", low)).select("a", "b")
-        near = stage_table(near.where(f"NOT ({large})").select("a", "b").unionByName(both), "near")
+        near = stage_table(first.where(f"NOT ({large})").select("a", "b").unionByName(both), "near")
+        drop_tables(first)
         named = near.select("a").unionByName(near.select(F.col("b").alias("a"))).distinct()
         reps = self.classes.join(named.withColumnRenamed("a", "class").hint("merge"), "class")
         reps = reps.select(F.col("rep").alias("key"), "class")
@@ -450,12 +463,14 @@ class NearJoin:
         )
         met = near.join(one, "a").join(two, "b")
         both = "size(array_intersect(a_set, b_set))"
-        return stage_table(
+        links = stage_table(
             met.selectExpr("a", "b", f"{both} AS both", "size(a_set) + size(b_set) AS total")
             .where(f"{high} * both >= {low} * (total - both)")
             .select("a", "b"),
             "links",
         )
+        drop_tables(near, held)
+        return links
 
     def _sets(self, texts: DataFrame) -> DataFrame:
         words = self.words
@@ -502,7 +517,9 @@ class NearJoin:
             .join(self.classes.select("class", *told).hint("merge"), "class")
             .select("sig", "class", "root", "home", *told)
         )
-        return stage_table(full, "mixed")
+        full = stage_table(full, "mixed")
+        drop_tables(at)
+        return full
 
     def to_hubs(self, full: DataFrame, links: DataFrame) -> DataFrame:
         """Pairs of a mixed bucket's hub, its class with most links, and the
@@ -542,6 +559,30 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where(apart).select("a", "b")
 
 
+def _links(join: NearJoin) -> DataFrame:
+    """(a, b) of similar classes that connect whatever similar pairs connect."""
+    members = join.members()
+    star = members.where("center <> class").select(
+        F.col("center").alias("a"), F.col("class").alias("b")
+    )
+    # a class meets one of its centers first; then those that this leaves apart
+    links = join.links(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    roots = smallest_reachable(links)
+    rest = join.links(_apart(star, roots).distinct())
+    links = links.unionByName(rest)
+    roots = smallest_reachable(links)
+    for _ in range(HUB_ROUNDS):
+        full = join.mixed(members, roots)
+        links = links.unionByName(join.links(join.to_hubs(full, links)))
+        drop_tables(full)
+        roots = smallest_reachable(links)
+    full = join.mixed(members, roots)
+    drop_tables(members)
+    links = links.unionByName(join.links(join.across(full)))
+    drop_tables(full)
+    return links
+
+
 def near_components(
     docs: DataFrame,
     words: int = SHINGLE,
@@ -555,23 +596,10 @@ def near_components(
     and rows with a null key, are linked with nothing; repeated rows are one
     class; other columns are dropped; an empty table gives an empty one.
     """
-    join = NearJoin(docs, words, percent, key, text)
-    members = join.members()
-    star = members.where("center <> class").select(
-        F.col("center").alias("a"), F.col("class").alias("b")
-    )
-    # a class meets one of its centers first; then those that this leaves apart
-    links = join.links(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    roots = smallest_reachable(links)
-    rest = join.links(_apart(star, roots).distinct())
-    links = links.unionByName(rest)
-    roots = smallest_reachable(links)
-    for _ in range(HUB_ROUNDS):
-        hubs = join.to_hubs(join.mixed(members, roots), links)
-        links = links.unionByName(join.links(hubs))
-        roots = smallest_reachable(links)
-    more = join.links(join.across(join.mixed(members, roots)))
-    roots = smallest_reachable(links.unionByName(more)).withColumnRenamed("node", "class")
+    with shuffles_freed(docs.sparkSession):
+        join = NearJoin(docs, words, percent, key, text)
+        links = _links(join)
+        roots = smallest_reachable(links).withColumnRenamed("node", "class")
     placed = join.classes.join(roots.hint("merge"), "class", "left").withColumn(
         "root", F.coalesce("root", "class")
     )

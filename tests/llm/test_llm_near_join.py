@@ -1,5 +1,6 @@
 """The Jaccard join where sets are large and where buckets are crowded."""
 
+import os
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ from test_llm_operators import brute_components
 
 from matchwright.llm import near_join
 from matchwright.llm.near_join import PartEnum, near_components
+from matchwright.sources import staging
 
 
 def _counted(monkeypatch):
@@ -87,6 +89,44 @@ def test_groups_to_spare_are_no_fewer_than_what_may_be_left():
     assert PartEnum(85).leaves() == "0"
 
 
+def test_large_sets_that_share_nothing_share_no_signature():
+    rng = np.random.default_rng(11)
+    for percent in (80, 85):
+        sizes = rng.integers(1000, 4500, 120)
+        sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in sizes]
+        sigs, many = PartEnum(percent).signed(sets)
+        assert len(sigs) == many.sum() and many.all()
+        assert len(np.unique(sigs)) == len(sigs)
+
+
+def test_similar_sets_share_a_signature_that_is_not_of_empty_parts():
+    rng = np.random.default_rng(12)
+    for percent in (80, 85, 95):
+        scheme = PartEnum(percent)
+        for size in [*range(4, 70), 200, 701, 1500]:
+            base = rng.integers(0, 2**63, size, dtype=np.uint64)
+            # the most that may be left out, the most that may be added, and both
+            out = size * (100 - percent) // 100
+            more = size * 100 // percent - size
+            some = 2 * size * (100 - percent) // (100 + percent) // 2
+            for gone, new in ((out, 0), (0, more), (some, some)):
+                other = np.r_[base[gone:], rng.integers(0, 2**63, new, dtype=np.uint64)]
+                if gone + new and 100 * (size - gone) >= percent * (size + new):
+                    a, b = (scheme.signatures(np.unique(x)) for x in (base, other))
+                    assert np.intersect1d(a, b).size > scheme.groups(scheme.band(size))[1], size
+
+
+def test_sets_of_a_slice_are_signed_as_one_by_one_and_by_their_own_size():
+    rng = np.random.default_rng(13)
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (0, 1, 5, 90, 0, 800, 7)]
+    scheme = PartEnum(85)
+    sigs, many = scheme.signed(sets)
+    assert (sigs == np.concatenate([scheme.signatures(s) for s in sets])).all()
+    assert many.tolist() == [len(scheme.signatures(s)) for s in sets]
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in range(300, 1500, 7)]
+    assert len(scheme.signed(sets)[0]) < 0.42 * sum(map(len, sets))
+
+
 def test_words_are_those_of_split_and_lower():
     odd = [b"", b" \t", b"A b\x0bC", b"\xc3\x84 b\xc2\xa0c d", b"x" * 700 + b" Y", b"\x00 \x1c z"]
     data = b" " + b" ".join(odd) + b" "
@@ -94,3 +134,20 @@ def test_words_are_those_of_split_and_lower():
     words = data.lower().split()
     assert [data[s:].lower().split(None, 1)[0] for s in starts] == words
     assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+
+
+def test_tables_that_nothing_reads_any_more_are_deleted(spark, monkeypatch):
+    made, write = [], near_join.stage_table
+    monkeypatch.setattr(
+        near_join, "stage_table", lambda df, label: made.append((label, write(df, label))) or made[-1][1]
+    )
+    before = spark.conf.get(staging.CLEANUP)
+    rng = random.Random(2)
+    words = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(words[:-1] + [f"v{rng.randrange(30)}"])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs, 5, 80).collect()}
+    assert got == brute_components(rows, 5, 80)
+    assert spark.conf.get(staging.CLEANUP) == before
+    left = {label for label, table in made if os.path.exists(table.stage_path.replace("file:", "", 1))}
+    assert left == {"sets", "classes", "links"}
