@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchwright.llm.batches import map_slices, utf8
-from matchwright.sources.staging import stage_table
+from matchwright.sources.staging import drop_tables, shuffles_freed, stage_table
 
 WINDOW = 13
 PHRASE = 5
@@ -246,6 +246,12 @@ class Removal:
 
     def __init__(self, docs: DataFrame, key: str, text: str):
         self.key, self.text = key, text
+        with shuffles_freed(docs.sparkSession):
+            self.copies, self.spans = self._found(docs)
+
+    def _found(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Copies (key, h), and the spans (key, h, start, stop) of other texts."""
+        key, text = self.key, self.text
         base = docs.select(F.col(key).cast("long").alias("key"), utf8(text).alias("text"))
         base = base.where("key IS NOT NULL").withColumn("h", F.xxhash64("text"))
         copies = (
@@ -255,20 +261,22 @@ class Removal:
         )
         held = base.select("key", "h", F.octet_length("text").alias("size"))
         later = held.join(copies.hint("merge"), ["h", "size"]).where("key <> rep")
-        self.copies = stage_table(later.select("key", "h").distinct(), "copies")
+        gone = stage_table(later.select("key", "h").distinct(), "copies")
         dealt = anchor_rows(base).repartition("anchor").sortWithinPartitions("anchor", "key")
         shared = stage_table(dealt.mapInArrow(_shared, "anchor long, key long"), "anchors")
         # what is a copy is told with the anchors, so that texts are dealt out once;
         # a key has as many of these marks as it has different texts
-        gone = self.copies.groupBy("key").agg(F.collect_set("h").alias("gone"))
+        by_key = gone.groupBy("key").agg(F.collect_set("h").alias("gone"))
         lists = shared.groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
-        lists = lists.join(gone.hint("merge"), "key", "left")
+        lists = lists.join(by_key.hint("merge"), "key", "left")
         texts = base.join(lists.hint("merge"), "key")
         texts = texts.where("gone IS NULL OR NOT array_contains(gone, h)")
         texts = texts.select("key", "h", "text", "anchors")
         fragments = fragment_rows(texts).repartition("anchor").sortWithinPartitions("anchor", "key")
         found = fragments.mapInArrow(_locate, "key long, h long, start long, stop long")
-        self.spans = stage_table(found.distinct(), "spans")
+        spans = stage_table(found.distinct(), "spans")
+        drop_tables(shared)
+        return gone, spans
 
     def marked(self, docs: DataFrame, own: str = "__") -> DataFrame:
         """``docs`` with ``<own>spans``, or null, and ``<own>copy``.
