@@ -8,6 +8,10 @@ the difference, the other two agree. A set's signatures are the hashes of its
 elements in every two of the three parts of every group (Arasu, Ganti and
 Kaushik, VLDB 2006); sets similar enough share one.
 
+A set smaller than its band allows differs less from what is similar to it: it
+signs the first groups only, as many as its own size asks for, and of them none
+with two empty parts, in which all sets of the band with few elements agree.
+
 Equal sets are one class and are signed alike. In a bucket of one signature
 classes meet its least class first; only classes that this leaves in different
 components meet its hub, the class with most links, and those that this leaves
