@@ -4,8 +4,10 @@ Vectors are ranged by descending length into blocks of bounded size. The block
 of the longest gives each query a first bound, its k-th score so far; blocks
 too short to reach it are not met at all. Inside a block, coordinates are
 rotated so that the first ones carry most of the length: a partial product of
-those, and the Cauchy-Schwarz bound on the rest, leave few pairs whose exact
-integer product is taken. Vectors go by descending length, the bound rises as
+those, and the Cauchy-Schwarz bound on the rest, tell which pairs go on to the
+next ones. Where many do, all pairs at hand go on as one product of matrices,
+which costs less than picking them. Few pairs are left whose exact integer
+product is taken. Vectors go by descending length, the bound rises as
 scores are found, and a query stops where no length left can reach it.
 """
 
@@ -24,6 +26,8 @@ BLOCK = 2048
 STEP = 512
 TOGETHER = 128
 HEADS = (12, 28)
+#: Where more than one of so many pairs goes on, all do.
+PICKED = 16
 MOST_TASKS = 10_000
 LOWEST = np.iinfo(np.int64).min
 #: Vectors shorter than this have products within 64 bits, rounding included.
@@ -115,7 +119,7 @@ def meet(
     length = np.sqrt((x * x).sum(axis=1))
     order = np.argsort(-length, kind="stable")
     x, length, ids, vectors = x[order], length[order], ids[order], vectors[order]
-    heads = [h for h in HEADS if h < x.shape[1]]
+    heads = [*(h for h in HEADS if h < x.shape[1]), x.shape[1]]
     rest_x = [np.sqrt((x[:, h:] ** 2).sum(axis=1)) for h in heads]
     best = Best(len(queries), k, floor.copy())
     for start in range(0, len(queries), TOGETHER):
@@ -140,19 +144,22 @@ def _meet_few(best, queries, query_ids, x, length, rest_x, heads, vectors, ids,
         alive = np.flatnonzero(length_q * length[a] >= least)
         if not len(alive):
             break
-        if heads:
-            h = heads[0]
-            bound = q[alive, :h] @ x[a:b, :h].T
-            reach = bound + rest_q[0][alive, None] * rest_x[0][a:b]
-            i, j = np.nonzero(reach >= least[alive, None])
-            part = bound[i, j]
-            i, j = alive[i], j + a
-            for level, (low, high) in enumerate(zip(heads, heads[1:]), 1):
+        i = j = None  # the pairs that go on; none picked yet: all
+        part, low = 0.0, 0
+        for level, high in enumerate(heads):
+            rest_i, rest_j = rest_q[level], rest_x[level]
+            if i is None:
+                part = part + q[alive, low:high] @ x[a:b, low:high].T
+                near = part + rest_i[alive, None] * rest_j[a:b] >= least[alive, None]
+                if high == heads[-1] or PICKED * np.count_nonzero(near) <= near.size:
+                    i, j = np.nonzero(near)
+                    part = part[i, j]
+                    i, j = alive[i], j + a
+            else:
                 part = part + np.einsum("pd,pd->p", q[i, low:high], x[j, low:high])
-                near = part + rest_q[level][i] * rest_x[level][j] >= least[i]
+                near = part + rest_i[i] * rest_j[j] >= least[i]
                 i, j, part = i[near], j[near], part[near]
-        else:
-            i, j = (m.ravel() for m in np.meshgrid(alive, np.arange(a, b), indexing="ij"))
+            low = high
         other = query_ids[i] != ids[j]
         i, j = i[other], j[other]
         score = np.einsum("pd,pd->p", queries[i], vectors[j])
