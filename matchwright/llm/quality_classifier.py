@@ -10,7 +10,8 @@ a linear scorer on hashed byte n-grams, which scores every document.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -124,7 +125,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], goal: np.ndarray) -> np.nda
     w = np.zeros(dense.shape[1], np.float32)
     velocity = np.zeros_like(w)
     for _ in range(300):
-        p = 1 / (1 + np.exp(-dense @ w))
+        p = 1 / (1 + np.exp(-(dense @ w)))  # -dense would be a second matrix
         gradient = dense.T @ (weight * (p - goal).astype(np.float32)) + 1e-4 * w
         velocity = 0.9 * velocity - 2.0 * gradient
         w += velocity
@@ -135,7 +136,8 @@ def fit_scorer(docs: DataFrame, text: str) -> np.ndarray:
     """Weights of the scorer, from the corpus alone.
 
     Vote patterns of all documents reach the driver as counts (3^labellers at
-    most), and of the sample at most ``TRAINED`` rows of features.
+    most); features of the sample, ``TRAINED`` rows at most, reach one task,
+    and its weights the driver.
     """
     texts = docs.select(utf8(text).alias("text"))
 
@@ -175,13 +177,31 @@ def fit_scorer(docs: DataFrame, text: str) -> np.ndarray:
         return work
 
     kind = "h long, at array<int>, x array<float>, good double"
-    found = map_slices(sample, "text", kind, featurise).toArrow().sort_by("h")
+    rows = map_slices(sample, "text", kind, featurise)
+    # the least hash first, so that sums are the same however rows were dealt
+    ordered = rows.repartition(1).sortWithinPartitions("h")
+    found = ordered.mapInArrow(_trained, "weight array<double>").toArrow()
     if not found.num_rows:
         return np.zeros((1 << BITS) + 1)
-    rows = [
-        (np.asarray(a.values), np.asarray(x.values)) for a, x in zip(found["at"], found["x"])
-    ]
-    return train(rows, found["good"].to_numpy())
+    return np.asarray(found["weight"][0].values)
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row, the weights of ``train`` on all rows (at, x, good); none for none."""
+    rows, goal = [], []
+    for batch in batches:
+        rows += [
+            (np.asarray(a.values), np.asarray(x.values))
+            for a, x in zip(batch.column("at"), batch.column("x"))
+        ]
+        goal.append(batch.column("good").to_numpy())
+    if rows:
+        weights = train(rows, np.concatenate(goal))
+        # the worker outlives its task
+        rows = goal = batch = None
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        yield pa.RecordBatch.from_arrays([pa.array([weights], pa.list_(pa.float64()))], ["weight"])
 
 
 def scores(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
